@@ -1,0 +1 @@
+"""Deliberately empty: every table of this domain is a finished batch; there is no unbounded source."""
