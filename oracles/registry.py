@@ -1,9 +1,9 @@
 """All statements by query name."""
 
-from . import business
+from . import business, preparation
 from .base import statement
 
-MODULES = [business]
+MODULES = [business, preparation]
 
 
 def all_statements() -> dict[str, str]:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import workspace
-from . import ancillary, attendance, executive, fans, promotions, tickets, views
+from . import ancillary, attendance, executive, fans, preparation, promotions, tickets, views
 
-MODULES = [attendance, tickets, promotions, ancillary, fans, executive, views]
+MODULES = [attendance, tickets, promotions, ancillary, fans, executive, views, preparation]
 
 
 def plain_types(df: DataFrame) -> DataFrame:
