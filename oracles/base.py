@@ -43,6 +43,13 @@ def hu(x: str, n: int = 0) -> str:
     return f"(sign({x}) * floor(abs({x}) * {s} + 0.5e0) / {s} + 0e0)"
 
 
+def even(x: str, n: int = 0) -> str:
+    """Half-even rounding of a double expression."""
+    y = f"(({x}) * {10**n}e0)"
+    tie = f"abs({y}) - floor(abs({y})) = 0.5e0 AND floor(abs({y})) % 2 = 0"
+    return f"(sign({y}) * CASE WHEN {tie} THEN floor(abs({y})) ELSE floor(abs({y}) + 0.5e0) END / {10**n}e0)"
+
+
 def div(a: str, b: str) -> str:
     return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0e0))"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .base import avg, big, cnt, dbl, hu
+from .base import avg, big, cnt, dbl, even, hu
 
 TABLE_NAMES = [
     "teams", "games", "weather", "promotions", "attendance", "ticket_segments", "ticket_sales", "concessions",
@@ -156,7 +156,7 @@ SQL: dict[str, str] = {
  {bound('away_team_win_pct_entering_game', '0', '1')}, {dbls('home_team_recent_form', 'away_team_recent_form')} FROM games""",
     "c_clean_attendance": f"""SELECT game_id, {ints('arena_capacity', 'expected_attendance_baseline', 'attendance_variance')}, attendance_tier,
  {big('greatest(actual_attendance, 0)')} AS actual_attendance,
- round_even(greatest(actual_attendance, 0) / CAST(arena_capacity AS DOUBLE) * 100e0, 2) AS capacity_pct FROM attendance""",
+ {even('greatest(actual_attendance, 0) / CAST(arena_capacity AS DOUBLE) * 100e0', 2)} AS capacity_pct FROM attendance""",
     "c_clean_ticket_sales": f"""SELECT game_id, {ints('segment_id', 'tickets_available')}, segment_name, {big('least(tickets_sold, tickets_available)')} AS tickets_sold,
  {dbls('avg_ticket_price', 'sell_through_rate')}, {bound('discount_pct', '0', '100')}, {bound('gross_ticket_revenue', '0')}, {bound('net_ticket_revenue', '0')} FROM ticket_sales""",
     "c_clean_concessions": CATEGORY + "concessions",

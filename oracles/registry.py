@@ -1,9 +1,9 @@
 """All statements by query name."""
 
-from . import business, preparation
+from . import business, insights, preparation
 from .base import statement
 
-MODULES = [business, preparation]
+MODULES = [business, preparation, insights]
 
 
 def all_statements() -> dict[str, str]:

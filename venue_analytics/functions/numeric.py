@@ -33,8 +33,9 @@ def half_up(c: str | Column, digits: int = 0) -> Column:
 
 
 def half_even(c: str | Column, digits: int = 0) -> Column:
-    """Round half to even, the convention of the data-frame jobs (the SQL jobs round half up)."""
-    return F.bround(_col(c), digits)
+    """Round a double half to even, the convention of the data-frame jobs (the SQL jobs round half up)."""
+    scale = F.lit(float(10**digits))
+    return F.rint(_col(c).cast("double") * scale) / scale
 
 
 def avg_r(c: str | Column, digits: int = 0) -> Column:
