@@ -1,9 +1,9 @@
 """All statements by query name."""
 
-from . import business, insights, preparation
+from . import business, insights, modelling, preparation
 from .base import statement
 
-MODULES = [business, preparation, insights]
+MODULES = [business, preparation, insights, modelling]
 
 
 def all_statements() -> dict[str, str]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -23,66 +22,71 @@ def _as_integer(df: DataFrame, column: str) -> tuple[Column, float]:
     return F.col(column).cast("bigint"), 1.0
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: list[float]) -> DataFrame:
-    """One row with q0, q1, ...: exact quantiles with linear interpolation, for any number of rows.
+def _running(partition: list[str], order: str) -> Column:
+    w = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(w), F.lit(0))
 
-    Two counting passes: first equal-width bins over the value range, then the single values of the few
-    bins that hold a wanted rank. No pass sorts the rows or keeps them in one task; at most 65,536 bin
-    counts, and the distinct values of those few bins, are put in order.
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """column, q0, q1, ...: exact quantiles with linear interpolation, for any number of rows.
+
+    Two counting passes for all columns together: first equal-width bins over each value range, then the
+    single values of the few bins that hold a wanted rank. No pass sorts the rows or keeps them in one
+    task; per column at most 65,536 bin counts, and the distinct values of those few bins, are put in order.
     """
-    value, factor = _as_integer(df, column)
-    rows = df.select(value.alias("v")).where(F.col("v").isNotNull())
-    stats = rows.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n"))).scalar()
-    width = F.floor((stats["high"] - stats["low"]) / F.lit(BINS)).cast("bigint") + 1
-    binned = rows.withColumn("b", F.call_function("div", F.col("v") - stats["low"], width))
-
-    def running(partition: list[str], order: str) -> Column:
-        w = (W.partitionBy(*partition) if partition else W).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return F.coalesce(F.sum("n").over(w), F.lit(0))
-
-    bins = binned.groupBy("b").agg(F.count("*").alias("n")).withColumn("before", running([], "b"))
-    last = (stats["n"] - 1).cast("double")
-    floors = [F.floor(F.lit(p) * last) for p in probs]
-    ceils = [F.ceil(F.lit(p) * last) for p in probs]
-    wanted = F.array_distinct(F.array(*floors, *ceils))
+    entries = [(c, *_as_integer(df, c)) for c in columns]
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), value.alias("v"), F.lit(factor).alias("factor")) for c, value, factor in entries
+    ]))).where(F.col("v").isNotNull())
+    last = (F.col("total") - 1).cast("double")
+    low_rank = lambda p: F.floor(F.lit(p) * last)
+    high_rank = lambda p: F.ceil(F.lit(p) * last)
+    stats = long.groupBy("column", "factor").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("total"))
+    stats = stats.withColumn("width", F.floor((F.col("high") - F.col("low")) / F.lit(BINS)).cast("bigint") + 1)
+    ranges = stats.select("column", "low", "width")
+    # One row per requested column: a bound known from the call.
+    binned = long.select("column", "v").join(F.broadcast(ranges), "column").withColumn(
+        "b", F.call_function("div", F.col("v") - F.col("low"), F.col("width")))
+    bins = binned.groupBy("column", "b").agg(F.count("*").alias("n")).withColumn("before", _running(["column"], "b"))
+    wanted = stats.select("column", F.array_distinct(F.array(*[r(p) for p in probs for r in (low_rank, high_rank)])).alias("wanted"))
     hit = lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n"))
-    targets = bins.withColumn("wanted", wanted).select("b", "before", F.filter("wanted", hit).alias("ranks"))
+    targets = bins.join(F.broadcast(wanted), "column").select("column", "b", "before", F.filter("wanted", hit).alias("ranks"))
     targets = targets.where(F.size("ranks") > 0)
-    # At most two bins per probability: a proven bound for the broadcast.
-    inside = binned.join(F.broadcast(targets.select("b", "before", "ranks")), "b")
-    values = inside.groupBy("b", "before", "ranks", "v").agg(F.count("*").alias("n"))
-    values = values.withColumn("before", F.col("before") + running(["b"], "v"))
-    found = values.select(F.explode(F.filter("ranks", hit)).alias("rank"), "v")
-    table = found.agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+    # At most two bins per probability and column.
+    inside = binned.join(F.broadcast(targets), ["column", "b"]).groupBy("column", "b", "before", "ranks", "v").agg(F.count("*").alias("n"))
+    inside = inside.withColumn("before", F.col("before") + _running(["column", "b"], "v"))
+    found = inside.select("column", F.explode(F.filter("ranks", hit)).alias("rank"), "v")
+    table = found.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
+    table = table.join(F.broadcast(stats.select("column", "factor", "total")), "column")
 
-    def quantile(p: float, low: Column, high: Column) -> Column:
-        a = F.element_at("at", low).cast("double") / factor
-        b = F.element_at("at", high).cast("double") / factor
-        return a + (b - a) * (F.lit(p) * last - low.cast("double"))
+    def quantile(p: float) -> Column:
+        a = F.element_at("at", low_rank(p)).cast("double") / F.col("factor")
+        b = F.element_at("at", high_rank(p)).cast("double") / F.col("factor")
+        return a + (b - a) * (F.lit(p) * last - low_rank(p).cast("double"))
 
-    return table.select(*[quantile(p, lo, hi).alias(f"q{i}") for i, (p, lo, hi) in enumerate(zip(probs, floors, ceils))])
+    return table.select("column", *[quantile(p).alias(f"q{i}") for i, p in enumerate(probs)])
 
 
 def describe(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     """column, count, mean, std, min, p25, p50, p75, max of integer or decimal columns."""
-    parts = []
-    for c in columns:
+    aggs, rows = [], []
+    for i, c in enumerate(columns):
         value, factor = _as_integer(df, c)
         wide = value.cast("decimal(38,0)")
-        n = F.count(c).cast("double")
-        square = F.sum(wide * wide).cast("double")
-        total = F.sum(wide).cast("double")
-        spread = (square - total * total / F.nullif(n, F.lit(0.0))) / F.nullif(n - 1, F.lit(0.0))
-        base = df.agg(
-            F.count(c).alias("count"), half_up(exact_avg(c), digits).alias("mean"),
-            half_up(F.sqrt(F.greatest(spread, F.lit(0.0))) / factor, digits).alias("std"),
-            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-        )
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(F.struct(*[half_up(f"q{i}", digits).alias(f"q{i}") for i in range(3)])).scalar()
-        parts.append(base.withColumn("q", q).select(
-            F.lit(c).alias("column"), "count", "mean", "std", "min", F.col("q.q0").alias("p25"),
-            F.col("q.q1").alias("p50"), F.col("q.q2").alias("p75"), "max"))
-    return reduce(DataFrame.unionByName, parts)
+        aggs += [
+            F.count(c).alias(f"n{i}"), exact_avg(c).alias(f"m{i}"), F.sum(wide).cast("double").alias(f"s{i}"),
+            F.sum(wide * wide).cast("double").alias(f"q{i}"), F.min(c).cast("double").alias(f"a{i}"), F.max(c).cast("double").alias(f"z{i}"),
+        ]
+        n = F.col(f"n{i}").cast("double")
+        total = F.col(f"s{i}")
+        spread = (F.col(f"q{i}") - total * total / F.nullif(n, F.lit(0.0))) / F.nullif(n - 1, F.lit(0.0))
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), half_up(f"m{i}", digits).alias("mean"),
+            half_up(F.sqrt(F.greatest(spread, F.lit(0.0))) / factor, digits).alias("std"), F.col(f"a{i}").alias("min"), F.col(f"z{i}").alias("max")))
+    base = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
+        "column", *[half_up(f"q{i}", digits).alias(name) for i, name in enumerate(("p25", "p50", "p75"))])
+    return base.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

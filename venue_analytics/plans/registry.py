@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import workspace
-from . import ancillary, attendance, executive, fans, insights, preparation, promotions, scenario, tickets, views
+from . import ancillary, attendance, executive, fans, insights, modelling, preparation, promotions, scenario, tickets, views
 
-MODULES = [attendance, tickets, promotions, ancillary, fans, executive, views, preparation, insights, scenario]
+MODULES = [attendance, tickets, promotions, ancillary, fans, executive, views, preparation, insights, scenario, modelling]
 
 
 def plain_types(df: DataFrame) -> DataFrame:
