@@ -59,13 +59,15 @@ def check(spark, con, folder: str, query, sql: str) -> str:
     return ""
 
 
-def session():
+def session(compiled: bool = True):
+    """Local session; interpreted plans start faster on tables of a few thousand rows."""
     from pyspark.sql import SparkSession
 
     spark = (
         SparkSession.builder.master("local[8]").appName("venue-tests")
         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
+        .config("spark.sql.codegen.wholeStage", str(compiled).lower())
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

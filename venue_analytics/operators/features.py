@@ -37,18 +37,28 @@ HISTORY = {
 }
 
 
-def _assemble(t) -> DataFrame:
-    """Games left-joined with attendance, weather, promotions, revenue roll-ups and both teams."""
+REVENUE_NAMES = {"ticket_rev": "total_net_ticket_revenue", "con_rev": "total_concession_revenue", "merch_rev": "total_merchandise_revenue"}
+
+
+def _outcomes(t) -> DataFrame:
+    """Per game: team and date, attendance, the three revenues (missing as zero) and their total."""
+    out = t["games"].select("game_id", "game_date", "season", "home_team_id").join(
+        t["attendance"].select("game_id", ATTENDANCE_TARGET), "game_id", "left")
+    for mart, source in zip(ROLLUPS, REVENUE_NAMES):
+        out = out.join(t.mart(mart).select("game_id", source), "game_id", "left")
+    out = out.withColumns({name: F.coalesce(F.col(source), F.lit(0)) for source, name in REVENUE_NAMES.items()})
+    total = F.col("total_net_ticket_revenue") + F.col("total_concession_revenue") + F.col("total_merchandise_revenue")
+    return out.withColumn(REVENUE_TARGET, total).drop(*REVENUE_NAMES)
+
+
+def _signals(t) -> DataFrame:
+    """Games left-joined with their tier, weather, promotion and both teams."""
     out = (
         t["games"]
-        .join(t["attendance"].select("game_id", "actual_attendance", "attendance_tier"), "game_id", "left")
+        .join(t["attendance"].select("game_id", "attendance_tier"), "game_id", "left")
         .join(t["weather"], "game_id", "left")
         .join(t["promotions"].drop("promotion_id"), "game_id", "left")
     )
-    renamed = {"tickets_by_game": ("ticket_rev", "total_net_ticket_revenue"), "concessions_by_game": ("con_rev", "total_concession_revenue"), "merchandise_by_game": ("merch_rev", "total_merchandise_revenue")}
-    for mart in ROLLUPS:
-        source, name = renamed[mart]
-        out = out.join(t.mart(mart).select("game_id", F.col(source).alias(name)), "game_id", "left")
     team = t["teams"].select("team_id", "historical_popularity_score", "arena_capacity")
     home = team.toDF("home_team_id", "home_team_popularity", "arena_capacity_feat")
     away = team.select("team_id", "historical_popularity_score").toDF("away_team_id", "away_team_popularity")
@@ -59,19 +69,16 @@ def _defaults(df: DataFrame) -> DataFrame:
     def flag(c: str):
         return F.coalesce(F.col(c), F.lit(False)).cast("int")
 
-    money = ["total_net_ticket_revenue", "total_concession_revenue", "total_merchandise_revenue"]
-    zero = F.lit(0)
-    df = df.withColumns({
+    return df.withColumns({
         "home_team_popularity": F.coalesce(F.col("home_team_popularity").cast("double"), F.lit(DEFAULT_POPULARITY)),
         "away_team_popularity": F.coalesce(F.col("away_team_popularity").cast("double"), F.lit(DEFAULT_POPULARITY)),
         "arena_capacity_feat": F.coalesce(F.col("arena_capacity_feat"), F.lit(DEFAULT_CAPACITY)),
         "temperature_f": F.coalesce(F.col("temperature_f").cast("double"), F.lit(DEFAULT_TEMPERATURE)),
         "promotion_type": F.coalesce(F.col("promotion_type"), F.lit("None")),
         **{c: flag(c) for c in ("precipitation_flag", "snow_flag", "severe_weather_flag", "promotion_flag", "is_weekend", "is_holiday_period", "rivalry_flag", "nationally_televised_flag")},
-        **{c: F.coalesce(F.col(c), zero) for c in ("expected_promotion_lift_pct", "promotion_cost", "sponsor_value_estimate", *money)},
+        **{c: F.coalesce(F.col(c), F.lit(0)) for c in ("expected_promotion_lift_pct", "promotion_cost", "sponsor_value_estimate")},
         "dow_ordinal": rules.dow_ordinal("day_of_week"),
     })
-    return df.withColumn(REVENUE_TARGET, sum((F.col(c) for c in money[1:]), F.col(money[0])))
 
 
 def build_features(t, fill: str = "global_mean", max_rows: int = 1_000_000) -> DataFrame:
@@ -80,18 +87,20 @@ def build_features(t, fill: str = "global_mean", max_rows: int = 1_000_000) -> D
     ``fill`` says what a team's first game gets for its missing history: ``global_mean`` is the mean over
     all games, which looks ahead into the test season; ``train_mean`` uses earlier seasons only.
     """
-    base = _defaults(_assemble(t))
-    known = base
+    outcomes = _outcomes(t)
+    known = outcomes
     if fill == "train_mean":
-        known = base.where(F.col("season") < base.agg(F.max("season")).scalar())
+        known = outcomes.where(F.col("season") < t["games"].agg(F.max("season")).scalar())
     elif fill != "global_mean":
         raise ValueError(f"unknown fill {fill!r}")
     means = known.agg(F.struct(exact_avg(ATTENDANCE_TARGET).alias("att"), exact_avg(REVENUE_TARGET).alias("rev"))).scalar()
-    df = lagged_means(base, "home_team_id", "game_date", "game_id", HISTORY, max_rows)
-    df = df.withColumn("_mean", means).withColumns({
+    # History runs on the narrow outcome columns; the wide signals join afterwards, one row per game.
+    history = lagged_means(outcomes, "home_team_id", "game_date", "game_id", HISTORY, max_rows, counted=t["games"])
+    history = history.withColumn("_mean", means).withColumns({
         name: F.coalesce(F.col(name), F.col("_mean")["att" if value == ATTENDANCE_TARGET else "rev"])
         for name, (value, _) in HISTORY.items()
-    }).drop("_mean")
+    }).drop("_mean", "home_team_id", "game_date", "season")
+    df = _defaults(_signals(t)).join(history, "game_id")
     price = t["ticket_segments"].agg(F.coalesce(exact_avg("avg_base_price"), F.lit(DEFAULT_BASE_PRICE))).scalar()
     lift = (
         F.lit(1.0) + F.lit(0.15) * F.col("rivalry_flag").cast("double")

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def with_slices(df: DataFrame, key: str, date: str, row_id: str, max_rows: int) -> DataFrame:
+def with_slices(df: DataFrame, key: str, date: str, row_id: str, max_rows: int, counted: DataFrame | None = None) -> DataFrame:
     """Add ``_slice``: equal-depth slices of each key along (date, row_id).
 
     Sizes come from an exact count per key and date, so one crowded date is split as well (by position in
     its id range) and sparse dates share a slice. The running sum sees one row per key and date.
     """
-    per_date = df.groupBy(key, date).agg(
+    per_date = (df if counted is None else counted).groupBy(key, date).agg(
         F.count("*").alias("_n"), F.min(row_id).alias("_low"), F.max(row_id).alias("_high")
     )
     before = F.coalesce(F.sum("_n").over(W.partitionBy(key).orderBy(date).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -44,24 +44,28 @@ def _mean_of_last(rows: Column, n: int, field: str, dtype: T.DataType) -> Column
 
 
 def lagged_means(
-    df: DataFrame, key: str, date: str, row_id: str, outputs: dict[str, tuple[str, int]], max_rows: int = 1_000_000
+    df: DataFrame, key: str, date: str, row_id: str, outputs: dict[str, tuple[str, int]], max_rows: int = 1_000_000,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per output name, the mean of a column over the n rows of the same key before this one.
 
     Rows are ordered by (date, row_id). Missing values inside the n rows are skipped, and fewer than n
     previous rows are enough; a first row gets null. All outputs share one shuffle and one sort. Value
     columns must be integer or decimal, so the means do not depend on summation order.
+
+    Pass a frame with the needed columns only: it is shuffled once, and read once more to count rows per
+    date unless ``counted`` names a cheaper frame with the same keys, dates and ids.
     """
     depth = max(n for _, n in outputs.values())
     columns = list(dict.fromkeys(value for value, _ in outputs.values()))
     types = {f.name: f.dataType for f in df.schema.fields}
-    sliced = with_slices(df, key, date, row_id, max_rows)
+    sliced = with_slices(df, key, date, row_id, max_rows, counted)
     record = F.struct(date, row_id, *columns)
 
     group = W.partitionBy(key, "_slice")
     newest = F.row_number().over(group.orderBy(F.desc(date), F.desc(row_id)))
     tails = (
-        sliced.select(key, "_slice", date, row_id, *columns).withColumn("_r", newest).where(F.col("_r") <= depth)
+        sliced.withColumn("_r", newest).where(F.col("_r") <= depth)
         .groupBy(key, "_slice").agg(F.sort_array(F.collect_list(record)).alias("_tail"))
     )
     # Every slice holds at least one row, so the previous `depth` slices supply the rows before it.

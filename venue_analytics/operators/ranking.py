@@ -7,43 +7,48 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, value: str, max_rows: int) -> DataFrame:
-    """Keys with more than max_rows rows, with their value range and a slice count.
-
-    At most rows / max_rows keys qualify, which bounds the frame whatever the data look like.
-    """
-    stats = df.groupBy(key).agg(
-        F.count("*").alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high")
-    )
-    slices = F.ceil(F.col("_n") / F.lit(max_rows)).cast("int")
-    return stats.where(F.col("_n") > max_rows).select(key, "_low", "_high", slices.alias("_slices"))
-
-
-def dense_rank_desc(df: DataFrame, key: str, value: str, name: str, max_rows: int = 1_000_000) -> DataFrame:
-    """DENSE_RANK() OVER (PARTITION BY key ORDER BY value DESC), with oversized keys split by value range.
-
-    A key above ``max_rows`` is cut into value slices, each ranked on its own and shifted by the number of
-    distinct values in the slices above it; a slice boundary never separates equal values. Other keys form
-    one slice with no shift, so for them this is the plain window.
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """key, rows: how many rows each key holds (combined map-side)."""
+    return df.groupBy(key).agg(F.count("*").alias("rows"))
+
+
+def dense_rank_desc(
+    df: DataFrame, key: str, value: str, name: str, counts: DataFrame | None = None, attributes: DataFrame | None = None,
+    max_rows: int = 1_000_000,
+) -> DataFrame:
+    """DENSE_RANK() OVER (PARTITION BY key ORDER BY value DESC), safe for keys of any size.
+
+    Keys up to ``max_rows`` rows take the plain window. Larger keys are cut into slices of their value
+    range, each slice is ranked in its own task and shifted by the number of distinct values above it; a
+    slice boundary never separates equal values. ``counts`` (key, rows) saves counting the keys here.
+    ``attributes`` has one row per key and is inner-joined; for ordinary keys the join and the window
+    share one shuffle.
     """
-    hot = hot_keys(df, key, value, max_rows)
-    width = (F.col("_high") - F.col("_low")).cast("double")
-    place = (F.col("_high") - F.col(value)).cast("double") / F.nullif(width, F.lit(0.0))
-    slice_no = F.coalesce(
-        F.least(F.floor(place * F.col("_slices")).cast("int"), F.col("_slices") - 1), F.lit(0)
-    )
-    sliced = df.join(F.broadcast(hot), key, "left").withColumn("_slice", slice_no)
-    # Distinct values per slice, hot keys only; nulls sort first under DESC and count as one value.
-    counted = (
-        sliced.where(F.col("_slices").isNotNull()).groupBy(key, "_slice", value).agg(F.lit(1).alias("_one"))
-        .groupBy(key, "_slice").agg(F.count("*").alias("_values"))
-    )
-    above = W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    shift = counted.select(key, "_slice", F.coalesce(F.sum("_values").over(above), F.lit(0)).alias("_shift"))
-    ranked = sliced.withColumn(
-        "_local", F.dense_rank().over(W.partitionBy(key, "_slice").orderBy(F.desc_nulls_first(value)))
-    )
-    # One row per hot slice, so at most rows / max_rows plus the number of hot keys.
-    out = ranked.join(F.broadcast(shift), [key, "_slice"], "left")
-    rank = (F.col("_local") + F.coalesce("_shift", F.lit(0))).cast("int")
-    return out.select(*df.columns, rank.alias(name))
+    counts = key_counts(df, key) if counts is None else counts
+    # At most rows / max_rows keys can qualify, so the broadcasts below are bounded by construction.
+    crowded = F.broadcast(counts.where(F.col("rows") > max_rows).select(key, F.ceil(F.col("rows") / F.lit(max_rows)).alias("_slices")))
+
+    ordinary = df.join(crowded.select(key), key, "left_anti")
+    if attributes is not None:
+        ordinary = ordinary.join(attributes, key)
+    order = F.desc_nulls_first(value)
+    plain = ordinary.withColumn(name, F.dense_rank().over(W.partitionBy(key).orderBy(order)))
+
+    rows = df.join(crowded, key)
+    span = rows.groupBy(key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    rows = rows.join(F.broadcast(span), key)
+    width = F.nullif((F.col("_high") - F.col("_low")).cast("double"), F.lit(0.0))
+    place = F.floor((F.col("_high") - F.col(value)).cast("double") / width * F.col("_slices")).cast("int")
+    # Nulls rank first, so they belong to the top slice; a single-valued key has no width and one slice.
+    rows = rows.withColumn("_slice", F.when(place.isNotNull(), F.least(place, F.col("_slices").cast("int") - 1)).otherwise(0))
+    distinct = rows.groupBy(key, "_slice", value).agg(F.lit(1).alias("_one")).groupBy(key, "_slice").agg(F.count("*").alias("_values"))
+    above = F.sum("_values").over(W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1))
+    shift = distinct.select(key, "_slice", F.coalesce(above, F.lit(0)).alias("_shift"))
+    local = F.dense_rank().over(W.partitionBy(key, "_slice").orderBy(order))
+    sliced = rows.repartition(key, "_slice").withColumn("_local", local).join(F.broadcast(shift), [key, "_slice"])
+    sliced = sliced.withColumn(name, (F.col("_local") + F.col("_shift")).cast("int"))
+    if attributes is not None:
+        # Only attributes of crowded keys: again at most rows / max_rows rows.
+        few = attributes.join(crowded.select(key), key, "left_semi")
+        sliced = sliced.join(F.broadcast(few), key)
+    return plain.unionByName(sliced.select(*plain.columns))

@@ -41,9 +41,10 @@ def attendance_performance(t) -> DataFrame:
 
 def ticket_segment_performance(t) -> DataFrame:
     """Every ticket record with its game, price tier and revenue rank within the game."""
-    ranked = dense_rank_desc(t["ticket_sales"], "game_id", "net_ticket_revenue", "segment_revenue_rank")
-    price_tier = t["ticket_segments"].select("segment_id", "price_tier")
-    out = ranked.join(hub(t, "attendance").select(*MATCHUP, "attendance_tier"), "game_id").join(price_tier, "segment_id")
+    counts = t.mart("tickets_by_game").select("game_id", F.col("ticket_rows").alias("rows"))
+    details = hub(t, "attendance").select(*MATCHUP, "attendance_tier")
+    ranked = dense_rank_desc(t["ticket_sales"], "game_id", "net_ticket_revenue", "segment_revenue_rank", counts, details)
+    out = ranked.join(t["ticket_segments"].select("segment_id", "price_tier"), "segment_id")
     return out.select(
         *MATCHUP, "attendance_tier", "segment_id", "segment_name", "price_tier", "tickets_available", "tickets_sold",
         "avg_ticket_price", "discount_pct", "gross_ticket_revenue", "net_ticket_revenue", "sell_through_rate",

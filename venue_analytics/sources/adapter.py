@@ -16,9 +16,6 @@ from ..functions import rules
 from ..functions.numeric import clip, int_div, unit_amount
 from .schemas import SCHEMAS
 
-# Parts of games, attendance and the category tables that need a join; see Workspace.
-JOINED_TABLES = ("games", "attendance", "concessions", "merchandise")
-
 
 def _big(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("bigint")
@@ -78,9 +75,10 @@ class SalesAdapter:
         return 17000 + team * 160
 
     def ticket_segments(self) -> DataFrame:
-        rows = [(i, n, p, t) for i, n, p, t in rules.TICKET_SEGMENTS]
-        raw = self.spark.createDataFrame(rows, "segment_id int, segment_name string, avg_base_price string, price_tier string")
-        return conform(raw, "ticket_segments")
+        # VALUES keeps its exact size in the plan, so joins with it broadcast instead of shuffling the fact.
+        rows = ", ".join(f"({i}, '{name}', {price}, '{tier}')" for i, name, price, tier in rules.TICKET_SEGMENTS)
+        values = self.spark.sql(f"SELECT * FROM VALUES {rows} AS s(segment_id, segment_name, avg_base_price, price_tier)")
+        return conform(values, "ticket_segments")
 
     # ---- the game hub ----------------------------------------------------------------------------
     def _orders(self) -> DataFrame:
@@ -190,7 +188,7 @@ class SalesAdapter:
         seat = F.concat("l_returnflag", "l_linestatus")
         segment_of = {"AF": 1, "AO": 2, "NF": 3, "NO": 4, "RF": 8, "RO": 9}
         names = {key: rules.TICKET_SEGMENTS[i - 1][1] for key, i in segment_of.items()}
-        out = self.source("lineitem").select(
+        out = self._lines().select(
             F.monotonically_increasing_id().alias("ticket_sale_id"), _big("l_orderkey").alias("game_id"),
             rules.lookup(seat, segment_of, None).alias("segment_id"),
             rules.lookup(seat, names, None).alias("segment_name"),
@@ -203,13 +201,19 @@ class SalesAdapter:
         )
         return conform(out, "ticket_sales")
 
+    def _lines(self) -> DataFrame:
+        """Line items, spread over all cores where the files split into fewer partitions than there are."""
+        lines = self.source("lineitem")
+        cores = self.spark.sparkContext.defaultParallelism
+        return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+
     def _category_sales(self, name: str, odd: int, key: str, share: str, kinds: list, attendance: DataFrame) -> DataFrame:
         """Concession or merchandise records: one per line item of the given parity."""
         which = F.col(key) % len(kinds)
         gross = F.round(_money("l_extendedprice") * _dec(share), 2)
         cost_share = F.element_at(F.array(*[_dec(c) for _, _, c in kinds]), (which + 1).cast("int"))
         price = F.element_at(F.array(*[F.lit(p).cast("decimal(8,2)") for _, p, _ in kinds]), (which + 1).cast("int"))
-        lines = self.source("lineitem").where(F.col("l_linenumber") % 2 == odd).select(
+        lines = self._lines().where(F.col("l_linenumber") % 2 == odd).select(
             _big("l_orderkey").alias("game_id"), rules.pick(which, [n for n, _, _ in kinds]).alias("category"),
             F.col("l_quantity").cast("int").alias("units_sold"), price.alias("avg_unit_price"),
             _money(gross).alias("gross_revenue"), _money(F.round(_money(gross) * cost_share, 2)).alias("estimated_cost"),

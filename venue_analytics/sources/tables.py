@@ -61,12 +61,13 @@ class Workspace(Tables):
     """Tables derived from a sales folder, the costly ones stored.
 
     The hub tables (one row per game) and the roll-ups are bucketed by game_id: their keys are unique, so
-    buckets stay even, and the joins among them need no shuffle. The large category tables are written as
-    plain Parquet, never bucketed by game, so one huge game spreads over many files and tasks.
+    buckets stay even, and the joins among them need no shuffle. The fact tables are written as plain
+    Parquet, never bucketed by game, so one huge game spreads over many files and tasks; storing them pays
+    their arithmetic once and fixes their surrogate ids.
     """
 
     HUB = ("games", "attendance", "promotions", "weather")
-    STORED_FACTS = ("concessions", "merchandise")
+    STORED_FACTS = ("ticket_sales", "concessions", "merchandise")
 
     def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None):
         self.spark = spark
@@ -79,19 +80,19 @@ class Workspace(Tables):
         super().__init__({name: self._builder(name) for name in SCHEMAS})
 
     def _bucket_count(self, bytes_per_bucket: int = 256 << 20) -> int:
-        """Enough buckets for the hub at its source's size, at least the session's shuffle parallelism."""
+        """Buckets by the size of the hub's source: one per 256 MB, at least one per core on small data."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.adapter.folder}/orders.parquet")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         size = files.getContentSummary(path).getLength()
-        wanted = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_per_bucket))
-        return min(wanted, int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        small = min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.spark.sparkContext.defaultParallelism)
+        return min(max(small, -(-size // bytes_per_bucket)), int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
     def _builder(self, name: str):
         def build() -> DataFrame:
             if name in self.HUB:
                 return self._stored(name, self.adapter.build(name), bucketed=True)
             if name in self.STORED_FACTS:
-                frame = getattr(self.adapter, name)(self["attendance"])
+                frame = self.adapter.build(name) if name == "ticket_sales" else getattr(self.adapter, name)(self["attendance"])
                 return self._stored(name, frame, bucketed=False)
             return self.adapter.build(name)
 
