@@ -142,7 +142,7 @@ DEMAND = """(0.72e0 + 0.08e0 * CAST(h.historical_popularity_score AS DOUBLE) + 0
 SCORE = """(0.35e0 * (CAST(avg_ticket_spend AS DOUBLE) / 450e0) + 0.20e0 * (CAST(games_attended_last_12_months AS DOUBLE) / 41e0)
  + 0.15e0 * (CAST(avg_merchandise_spend AS DOUBLE) / 80e0) + 0.15e0 * (CAST(avg_concession_spend AS DOUBLE) / 45e0)
  + 0.10e0 * CAST(email_engagement_score AS DOUBLE) + 0.05e0 * (1e0 - CAST(promotion_usage_rate AS DOUBLE)))"""
-PAIRS = "(1,2),(1,3),(4,5),(4,6),(7,8),(9,1),(3,2),(10,6),(10,1),(11,1),(12,4)"
+PAIRS = "(1, 2), (1, 3), (4, 5), (6, 4), (7, 8), (24, 1)"
 BUFFER = "CASE attendance_tier WHEN 'Sellout' THEN 120 WHEN 'High' THEN 115 WHEN 'Medium' THEN 110 ELSE 105 END"
 
 SQL: dict[str, str] = {

@@ -369,3 +369,12 @@ def test_segmentation_end_to_end(make):
     assert {r[0] for r in out.where("loyalty_status = 'Other'").select("loyalty_encoded").distinct().collect()} == {2.0}
     assert segments.segment_counts(out).agg(F.sum("share_pct")).first()[0] == pytest.approx(100.0)
     assert segments.segment_profile(out).count() == 6
+
+
+def test_calendar_flags_take_pairs_in_either_order(tables):
+    from venue_analytics.plans.preparation import calendar_flags
+
+    t = tables(games=[dict(game_id=1, home_team_abbr="NYE", away_team_abbr="BOS", game_date=dt.date(2021, 1, 1)),
+                      dict(game_id=2, home_team_abbr="DEN", away_team_abbr="UTA", game_date=dt.date(2021, 3, 1))])
+    got = {r["game_id"]: tuple(r)[1:] for r in calendar_flags(t).collect()}
+    assert got == {1: (True, True, True, True), 2: (False, False, False, False)}

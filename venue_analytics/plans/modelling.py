@@ -24,8 +24,9 @@ def _once(t, key: str, build: Callable):
 
 def prepared(t, task: fc.Task):
     """Preprocessor and the two persisted halves of a task's data."""
-    features = attendance_features if task is fc.ATTENDANCE else revenue_features
-    return _once(t, f"data/{task.name}", lambda: fc.prepare(features(build_features(t)), task))
+    select = attendance_features if task is fc.ATTENDANCE else revenue_features
+    stored = lambda: t.keep(f"features_{task.name}", lambda: select(build_features(t)))
+    return _once(t, f"data/{task.name}", lambda: fc.prepare(stored(), task))
 
 
 def candidate(t, task: fc.Task, name: str):

@@ -109,23 +109,24 @@ def fan_value_scores(t) -> DataFrame:
     return t["fan_profiles"].select("fan_id", half_up(score, 4).alias("fan_value_score"))
 
 
-# --- fixed values: pairs and teams of the calendar rule, by position in the team list --------------
-RIVAL_PAIRS = [(1, 2), (1, 3), (4, 5), (4, 6), (7, 8), (9, 1), (3, 2), (10, 6), (10, 1), (11, 1), (12, 4)]
-TELEVISED_TEAMS = [4, 6, 1, 7, 9, 2, 3]
-# --------------------------------------------------------------------------------------------------
-
-
-def calendar_flags(t, pairs: list[tuple[int, int]] = RIVAL_PAIRS, televised: list[int] = TELEVISED_TEAMS) -> DataFrame:
+def calendar_flags(
+    t, pairs: list[tuple[str, str]] = rules.RIVAL_PAIRS, televised: list[str] = rules.TELEVISED_TEAMS
+) -> DataFrame:
     """Weekend (Friday to Sunday), holiday season, rivalry (either order of a pair) and televised flags."""
-    home, away = F.col("home_team_id"), F.col("away_team_id")
-    code = F.least(home, away) * 10000 + F.greatest(home, away)
-    codes = sorted({min(p) * 10000 + max(p) for p in pairs})
+    home, away = F.col("home_team_abbr"), F.col("away_team_abbr")
+    matchup = F.concat_ws("|", F.least(home, away), F.greatest(home, away))
+    known = sorted({"|".join(sorted(p)) for p in pairs})
     return t["games"].select(
         "game_id", (F.weekday("game_date") >= 4).alias("is_weekend"), F.month("game_date").isin(12, 1).alias("is_holiday_period"),
-        code.isin(*codes).alias("rivalry_flag"), (home.isin(*televised) | away.isin(*televised)).alias("nationally_televised_flag"),
+        matchup.isin(*known).alias("rivalry_flag"), (home.isin(*televised) | away.isin(*televised)).alias("nationally_televised_flag"),
     )
 
 
+# Pairs and televised teams in the adapter's own abbreviations, for the registered job.
+ADAPTER_PAIRS = [("T01", "T02"), ("T01", "T03"), ("T04", "T05"), ("T06", "T04"), ("T07", "T08"), ("T24", "T01")]
+ADAPTER_TELEVISED = ["T04", "T06", "T01", "T07", "T09", "T02", "T03"]
+
+
 def discounted_spend(t) -> DataFrame:
     """Transaction totals after the promotion's ticket discount and concession uplift."""
     used = F.col("used_promotion")
@@ -154,6 +155,6 @@ QUERIES = {
     "g5_margin_and_units": margins_and_units,
     "g6_team_form": team_form,
     "g7_fan_value_score": fan_value_scores,
-    "g8_calendar_flags": calendar_flags,
+    "g8_calendar_flags": lambda t: calendar_flags(t, ADAPTER_PAIRS, ADAPTER_TELEVISED),
     "g9_discounted_spend": discounted_spend,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import threading
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +44,10 @@ class Tables(Mapping):
             self._marts[name] = marts.ROLLUPS[name](self)
         return self._marts[name]
 
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A result many later passes read. Here it is just built; a workspace stores it."""
+        return build()
+
 
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for local sessions that name none."""
@@ -108,6 +112,11 @@ class Workspace(Tables):
                 self._marts[name] = self._stored(name, marts.ROLLUPS[name](self), bucketed=True)
             return self._marts[name]
 
+    def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """Store a result in the shared folder, so passes over it survive lost executors without rebuilding it."""
+        with self._lock:
+            return self._stored(name, build(), bucketed=False)
+
     def _stored(self, name: str, frame: DataFrame, bucketed: bool) -> DataFrame:
         path, table = f"{self._root}/{name}", f"{self._prefix}_{name}"
         if not self.spark.catalog.tableExists(table):
