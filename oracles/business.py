@@ -49,10 +49,10 @@ def _split(source: str, a: str, b: str, c: str) -> str:
  {share(b)} AS concession_share_pct, {share(c)} AS merch_share_pct FROM {source}"""
 
 
-def _ready(ticket: str, con: str, mer: str, source: str, group: str) -> str:
+def _ready(ticket: str, con: str, mer: str, source: str, group: str, kind: str = "BIGINT") -> str:
     return f"""SELECT {M4}, {big('actual_attendance')} AS actual_attendance, {big('arena_capacity')} AS arena_capacity, {CAP1},
- attendance_tier, promotion_type, {r0(ticket)} AS ticket_rev, {big(con)} AS total_con_inventory_rec,
- {big(mer)} AS total_merch_inventory_rec,
+ attendance_tier, promotion_type, {r0(ticket)} AS ticket_rev, CAST({con} AS {kind}) AS total_con_inventory_rec,
+ CAST({mer} AS {kind}) AS total_merch_inventory_rec,
  CASE WHEN x.capacity_pct >= 95 THEN 'Maximum Staffing' WHEN x.capacity_pct >= 85 THEN 'High Staffing'
   WHEN x.capacity_pct >= 70 THEN 'Medium Staffing' ELSE 'Standard Staffing' END AS staffing_level
  FROM {source} WHERE attendance_tier IN ('High', 'Sellout') {group}
@@ -190,7 +190,7 @@ FROM fan_transactions JOIN games USING (game_id) GROUP BY rivalry_flag""",
     "q40_staffing": _ready(
         "SUM(k.net_ticket_revenue)", "SUM(c.recommended_inventory_units)", "SUM(m.recommended_inventory_units)",
         f"gap x JOIN {TRIPLE.replace('ticket_sales k', 'ticket_sales k USING (game_id)')}",
-        f"GROUP BY {M4}, actual_attendance, arena_capacity, x.capacity_pct, attendance_tier, promotion_type",
+        f"GROUP BY {M4}, actual_attendance, arena_capacity, x.capacity_pct, attendance_tier, promotion_type", "DOUBLE",
     ),
     "q40_staffing_fixed": _ready("ticket_rev", "con_inv", "mer_inv", "rev3 x", ""),
     # ---- views ----

@@ -378,3 +378,11 @@ def test_calendar_flags_take_pairs_in_either_order(tables):
                       dict(game_id=2, home_team_abbr="DEN", away_team_abbr="UTA", game_date=dt.date(2021, 3, 1))])
     got = {r["game_id"]: tuple(r)[1:] for r in calendar_flags(t).collect()}
     assert got == {1: (True, True, True, True), 2: (False, False, False, False)}
+
+
+def test_repeated_sums_survive_billions_of_records(spark):
+    """Row counts whose product exceeds a long still multiply exactly."""
+    df = spark.createDataFrame([(1, 2 * 10**11, 10**11, 10**11)], "game_id bigint, ticket_rows bigint, con_rows bigint, merch_rows bigint")
+    df = df.withColumns({c: F.lit("5.25").cast("decimal(22,2)") for c in ("ticket_rev", "con_rev", "merch_rev")})
+    row = executive.fanned(df).first()
+    assert int(row["fan_rows"]) == 2 * 10**33 and row["fan_ticket"] == row["fan_con"] / 2 and int(row["fan_con"] * 100) == 525 * 2 * 10**22

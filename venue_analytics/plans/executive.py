@@ -23,8 +23,11 @@ def _r(c: str | Column, digits: int = 0) -> Column:
 
 
 def fanned(df: DataFrame) -> DataFrame:
-    """Per-game sums as a join of the three facts would repeat them, plus the joined row count."""
-    tickets, con, merch = F.col("ticket_rows"), F.col("con_rows"), F.col("merch_rows")
+    """Per-game sums as a join of the three facts would repeat them, plus the joined row count.
+
+    Row counts multiply as decimals: for a game with billions of records their product exceeds a long.
+    """
+    tickets, con, merch = (F.col(c).cast("decimal(20,0)") for c in ("ticket_rows", "con_rows", "merch_rows"))
     return (
         df.withColumn("fan_rows", tickets * con * merch)
         .withColumn("fan_ticket", F.col("ticket_rev") * (con * merch))
@@ -117,8 +120,8 @@ def staffing(t) -> DataFrame:
     df = fanned(full_revenue(t, "attendance", "promotions"))
     return _readiness(
         df, F.col("fan_ticket"),
-        F.col("con_inventory") * F.col("ticket_rows") * F.col("merch_rows"),
-        F.col("merch_inventory") * F.col("ticket_rows") * F.col("con_rows"),
+        F.col("con_inventory").cast("decimal(20,0)") * F.col("ticket_rows") * F.col("merch_rows"),
+        F.col("merch_inventory").cast("decimal(20,0)") * F.col("ticket_rows") * F.col("con_rows"),
     )
 
 
