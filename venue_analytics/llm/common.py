@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,10 +52,27 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The columns and each row's locator, file and row number in it; a frame that isn't a plain file scan is stored first."""
+    where = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    try:
+        return docs.select(*columns, *where)
+    except AnalysisException:
+        return stored(docs.select(*columns), "located").select("*", *where)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+BROADCAST_ROWS = 100_000  # of narrow rows (a key, a locator or a few numbers): about 20 MB
+
+
+def narrow(side: DataFrame) -> DataFrame:
+    """A stored narrow side of a join with wide rows: broadcast if it has few rows; beyond, hashed after a shuffle."""
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side.hint("shuffle_hash")
+
+
 def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], inputs: list[Column], outputs: T.StructType) -> DataFrame:
     """df with the columns that ``work`` computes, batch by batch, from the input expressions.
 

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder, stored
+from .common import located, narrow, shared_folder, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 FILES_PER_BATCH = 32
@@ -34,11 +34,6 @@ def sha256(normalised: Column) -> Column:
     return F.sha2(normalised, 256)
 
 
-def located(docs: DataFrame, *columns: Column) -> DataFrame:
-    """Rows of a Parquet table with the locator of each: file and row number in it."""
-    return docs.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-
-
 def write_log(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """The narrow log of a Parquet table, appended to ``path``."""
     log = located(docs, F.col(key).alias("doc_id"), digest(normal(F.col(text))).alias("digest"), F.length(F.coalesce(text, F.lit(""))).cast("long").alias("points"))
@@ -80,8 +75,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
         empty = log.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
         return empty
     state = stored(stream_log(spark, log, path, shared_folder(spark, "dedup-state")), "dedup-entries")
-    seen_again = log.join(state.where("group_size > 1").select("digest"), "digest", "left_semi").select("file", "at", "digest")
-    texts = located(docs, normal(F.col(text)).alias("normal")).join(seen_again.hint("shuffle_hash"), ["file", "at"])
+    seen_again = stored(log.join(state.where("group_size > 1").select("digest"), "digest", "left_semi").select("file", "at", "digest"), "dedup-hits")
+    texts = located(docs, normal(F.col(text)).alias("normal")).join(narrow(seen_again), ["file", "at"])
     clash = stored(texts.groupBy("digest").agg(F.min("normal").alias("a"), F.max("normal").alias("b")).where("a <> b").select("digest"), "dedup-clashes")
     joined = log.join(state, "digest")
     if not clash.isEmpty():

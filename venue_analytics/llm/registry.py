@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, exact_dedup, language, licenses, mixing, sharding, tokens
+from . import chat, decontaminate, exact_dedup, language, licenses, mixing, sharding, shingle_join, tokens
 
-MODULES = [tokens, licenses, language, mixing, sharding, exact_dedup, decontaminate, chat]
+MODULES = [tokens, licenses, language, mixing, sharding, exact_dedup, decontaminate, chat, shingle_join]
 
 
 def all_queries() -> dict:
