@@ -300,17 +300,9 @@ def _texts(rows: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame
     return stored(rows.join(narrow(first), ["file", "at"]).select("node", "text"), "join-texts")
 
 
-def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: the least doc_id that links reach.
-
-    Texts are lower-cased (A-Z) and split at ASCII white space. Rows with equal sets are one component
-    whatever their ids. A row without words has no n-grams and is its own component; rows of one
-    component whose ids are all null get null. Hashes have 64 bits: among a hundred million different
-    sets two would be taken for equal with a chance of 0.03 %. An empty frame gives no rows.
-    """
-    spark = docs.sparkSession
-    buckets = partitions(spark)
-    rows = located(docs, F.col(key).alias("row_id"), F.col(text).cast("binary").alias("text"))
+def _labelled(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """(row_id, n, file, at, label) of every row of (row_id, text, file, at); rows without words have no label."""
+    buckets = partitions(rows.sparkSession)
     signed = stored(_signed(rows, words, percent, buckets), "join-signed")
     met = stored(_met(signed, buckets), "join-met")
     documents = signed.where("kind = 'document'").select("row_id", "n", "node", "file", "at")
@@ -345,12 +337,41 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     more = stored(_verified(pairs, _texts(rows, documents, pairs), words, percent), "join-links")
     labels = components(near.unionByName(more))
 
-    named = documents.where("node IS NOT NULL").join(labels, "node", "left").select("row_id", "n", F.coalesce("label", "node").alias("label"))
+    named = documents.where("node IS NOT NULL").join(labels, "node", "left").select("row_id", "n", "file", "at", F.coalesce("label", "node").alias("label"))
+    alone = documents.where("node IS NULL").select("row_id", "n", "file", "at", F.lit(None).cast("long").alias("label"))
+    return named.unionByName(alone)
+
+
+def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: the least doc_id that links reach.
+
+    Texts are lower-cased (A-Z) and split at ASCII white space. Rows with equal sets are one component
+    whatever their ids. A row without words has no n-grams and is its own component; rows of one
+    component whose ids are all null get null. Hashes have 64 bits: among a hundred million different
+    sets two would be taken for equal with a chance of 0.03 %. An empty frame gives no rows.
+    """
+    rows = located(docs, F.col(key).alias("row_id"), F.col(text).cast("binary").alias("text"))
+    labelled = _labelled(rows, words, percent)
+    named = labelled.where("label IS NOT NULL")
     least = named.groupBy("label").agg(F.min("row_id").alias("component_id"))
-    alone = documents.where("node IS NULL").select("row_id", "n", F.col("row_id").alias("component_id"))
+    alone = labelled.where("label IS NULL").select("row_id", "n", F.col("row_id").alias("component_id"))
     return named.join(least, "label").select("row_id", "n", "component_id").unionByName(alone).toDF("doc_id", "n_shingles", "component_id")
 
 
+def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one row of each component: the one of the least id (null last), then the first by file and row.
+
+    Rows without words are all kept. Columns stay as they are; file and at must not be among them.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    base = located(docs, *columns)
+    labelled = _labelled(base.select(F.col(key).alias("row_id"), F.col(text).cast("binary").alias("text"), "file", "at"), words, percent).where("label IS NOT NULL")
+    order = F.struct(F.col("row_id").isNull().alias("unnamed"), "row_id", "file", "at")
+    kept = labelled.groupBy("label").agg(F.min(order).alias("kept"), F.count("*").alias("rows")).where("rows > 1")
+    dropped = labelled.join(kept, "label").where("file <> kept.file OR at <> kept.at").select("file", "at")
+    return base.join(narrow(stored(dropped, "join-dropped")), ["file", "at"], "left_anti").select(*columns)
+
+
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Component of every document under links of 4-word shingles at 85 %."""
     return near_components(table(spark, folder, "documents").select("doc_id", "text"))
