@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,7 +108,7 @@ def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[li
 def small_batches(batches: Iterator[pa.RecordBatch], column: int = 0, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded bytes (a longer single row stays one batch)."""
     for batch in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if i > start and total + size > most:
