@@ -19,6 +19,7 @@ from .common import located, narrow, shared_folder, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 FILES_PER_BATCH = 32
+STATE_PARTITIONS = 24  # each a store of its own with files of its own; fixed for the life of the state, so set it for the size expected
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -41,14 +42,14 @@ def write_log(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     return docs.sparkSession.read.schema(log.schema).parquet(path)
 
 
-def stream_log(spark: SparkSession, log: DataFrame, path: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+def stream_log(spark: SparkSession, log: DataFrame, path: str, checkpoint: str, files_per_batch: int = FILES_PER_BATCH, state_partitions: int = STATE_PARTITIONS) -> DataFrame:
     """Run the log's new files through the state at ``checkpoint``; the state as (digest, keep, group_size).
 
     ``keep`` orders by most code points, then smallest doc_id (null last), then locator.
     """
     session = spark.newSession()  # the store is set for this stream alone
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.streaming.internal.stateStore.partitions", str(state_partitions))
     rank = F.struct((-F.col("points")).alias("less"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file", "at")
     entries = (
         session.readStream.schema(log.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
