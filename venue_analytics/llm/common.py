@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -46,10 +47,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go as soon as it ends, so a chain of stored steps holds one step's.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -74,6 +83,16 @@ def narrow(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side.hint("shuffle_hash")
 
 
+ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session hand rows to Python in small batches: texts are long rows, and both sides hold a whole batch."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(rows, str(min(ARROW_ROWS, int(spark.conf.get(rows)) if int(spark.conf.get(rows)) > 0 else ARROW_ROWS)))
+    spark.conf.set(size, str(ARROW_BYTES))
+
+
 def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], inputs: list[Column], outputs: T.StructType) -> DataFrame:
     """df with the columns that ``work`` computes, batch by batch, from the input expressions.
 
@@ -82,6 +101,8 @@ def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[li
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    bounded_batches(df.sparkSession)
+
     new = {f.name.lower() for f in outputs.fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     n = len(kept)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append, remainder_is, small_batches, table
+from .common import append, bounded_batches, remainder_is, small_batches, table
 
 COLUMNS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -52,6 +52,7 @@ def fit(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang",
     Rows without text or lang don't count. Each language gives about per_language rows at most, picked
     by a hash of the text. No such row: no languages, and every prediction is `und`.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # one number a language
     names = sorted(sizes)
@@ -62,7 +63,7 @@ def fit(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in small_batches(batches, 1):
+        for batch in small_batches(batches, 1, 1 << 20):
             labels, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for label in set(labels):
                 ids, _ = features([t for k, t in zip(labels, texts) if k == label], columns)
@@ -95,7 +96,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
         for batch in batches:
             labels: list[str] = []
             scores: list[float] = []
-            for part in small_batches(iter([batch]), 0, (64 << 20) // max(16, 4 * len(names))):
+            for part in small_batches(iter([batch]), 0, (8 << 20) // max(16, 4 * len(names))):
                 texts = [t or "" for t in part.column(0).to_pylist()]
                 known = [bool(names) and bool(LETTER.search(t)) for t in texts]
                 ids, sizes = features([t if k else "" for t, k in zip(texts, known)], columns)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append, partitions, remainder_is, shared_folder, stored, table
+from .common import append, bounded_batches, partitions, remainder_is, shared_folder, stored, table
 from .elias_fano import U64, EliasFano, mapped, pack
 
 DISCOUNT = 0.75
@@ -268,6 +268,7 @@ class Model:
 def fit(texts: DataFrame, text: str = "text", shards: int | None = None) -> Model:
     """Count all texts of a frame and write the trie. Null texts are empty: one end token each."""
     spark = texts.sparkSession
+    bounded_batches(spark)
     shards = shards or partitions(spark)
     folder = shared_folder(spark, "language-model")
     counted = _counted(texts.select(F.col(text).cast("binary").alias("text")), shards)

@@ -2,17 +2,16 @@
 
 A document is the set of its distinct word n-grams (64-bit hashes). Sets are joined in size bands: a
 band's pairs have a larger set of at most ``upper`` n-grams, so a linked pair differs in at most
-d = floor(2 * upper * (1 - t) / (1 + t)) of them. Every n-gram flips one bit of a sketch of many 64-bit
-blocks. A differing n-gram changes at most one block, so the sketches' distance is at most the sets'
-difference, and of d + 1 blocks one is equal in both (pigeonhole). Each block with its place is a
-signature; documents that share one are candidates and are verified on their texts.
-
-Blocks that are empty in both sets say nothing, so a sketch has ``slack`` blocks more: then an equal
-block that isn't empty remains, unless both documents have more than ``slack`` empty blocks, and such
-documents emit their empty blocks too. It has another ``spare`` blocks more, so linked documents share at
-least spare + 1 signatures. In one order of all signatures by how many documents have them, the rarest
-of the shared ones is then never among the ``spare`` last of either document, so each document leaves
-its ``spare`` most frequent ones out (blocks made of common passages alone). No link is lost.
+d = floor(2 * upper * (1 - t) / (1 + t)) of them. A sketch is a row of 64-bit parity blocks; every n-gram
+XORs its hash into one of them. A differing n-gram changes at most one block, so the sketches' Hamming
+distance, counted in blocks, is at most the sets' difference, and of d + 1 + spare blocks at least spare + 1 are equal in both (pigeonhole). Each block
+with its place and its number of n-grams is a signature; documents that share one are candidates and are
+verified on their texts.
+
+A document emits only the d + 1 signatures that hold most n-grams (ties by hash). This is one order for
+all documents, so the first of the equal blocks in it is never among the ``spare`` last of either
+document: no link is lost, while blocks that hold little, and so meet by chance or by a common passage,
+or nothing at all, aren't joined.
 
 Equal sets are one node. A signature shared by many nodes first gives links to the least of them only; what
 those verified links leave unconnected is then compared pair by pair, across components alone, so a
@@ -22,23 +21,24 @@ before the shuffle, so a very frequent one sends one entry a task.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import located, narrow, partitions, stored, table
+from .common import bounded_batches, located, narrow, partitions, stored, table
 from .components import components
 
 WORDS = 4
 PERCENT = 85
 GROWTH = 1.4  # of a band's upper size over the one below
-BANDS = 256  # the low byte of a signature is its band
-REMEMBERED = 1_000_000
-FLUSH = 2_000_000  # signatures that a task combines at a time
+SPARE = 3  # a sketch has a third more blocks than are emitted
+REMEMBERED = 300_000
+FLUSH = 500_000  # signatures that a task combines at a time
 
 U64 = np.uint64
 
@@ -84,7 +84,7 @@ def node_of(grams: np.ndarray) -> int:
 
 
 class Bands:
-    """Sizes, block counts, slacks and spares of the bands for a threshold in per cent."""
+    """Sizes and block counts of the bands for a threshold in per cent."""
 
     def __init__(self, percent: int):
         self.percent = percent
@@ -94,52 +94,53 @@ class Bands:
         while self.upper[-1] < size:
             self.upper.append(max(self.upper[-1] + 1, int(self.upper[-1] * GROWTH)))
 
-    def spare(self, band: int) -> int:
-        """How many signatures more than one linked documents share in a band."""
-        self._grow_to(band)
-        return (self._difference(band) + 3) // 6
-
-    def last(self) -> int:
-        """The last band of sets that fit a 32-bit count."""
-        self._grow(1 << 31)
-        return len(self.upper) - 1
-
-    def _difference(self, band: int) -> int:
-        return 2 * self.upper[band] * (100 - self.percent) // (100 + self.percent)
-
-    def _grow_to(self, band: int) -> None:
-        while len(self.upper) <= band:
-            self._grow(self.upper[-1] + 1)
-
     def of(self, n: int) -> list[tuple[int, int, int]]:
-        """(band, blocks, slack) of each band in which a set of n may meet a set as large or larger, or as small or smaller."""
-        self._grow(n * 100 // self.percent + 1)
+        """(band, blocks to emit, blocks of the sketch) of each band in which a set of n may meet a set as large or larger, or as small or smaller."""
+        self._grow(n)
         k = int(np.searchsorted(self.upper, n))
         out = []
-        while k == 0 or not out or n * 100 >= self.percent * (self.upper[k - 1] + 1):
-            d = self._difference(k)
-            out.append((k, d + 1 + self.spare(k) + d // 12, d // 12))
+        while not out or n * 100 >= self.percent * (self.upper[k - 1] + 1):
+            emitted = 2 * self.upper[k] * (100 - self.percent) // (100 + self.percent) + 1
+            out.append((k, emitted, emitted + emitted // SPARE))
             k += 1
-            self._grow_to(k)
+            if k == len(self.upper):
+                self._grow(self.upper[-1] + 1)
         return out
 
 
-def signatures(grams: np.ndarray, bands: Bands) -> np.ndarray:
-    """The signatures of a non-empty set: one for each block of its sketch that isn't empty, in each of its bands."""
-    out = []
-    bits = U64(1) << (grams >> U64(58))
-    for band, blocks, slack in bands.of(len(grams)):
-        place = (grams & U64(0xFFFFFFFFFFFF)) % U64(blocks)
-        place = place.astype(np.int64)
+def signatures(grams: np.ndarray, bands: Bands) -> tuple[np.ndarray, bytes]:
+    """The signatures of a non-empty set, in each of its bands those of the blocks that hold most, and a byte of every block's."""
+    out, short = [], []
+    bits = mixed(grams ^ U64(0x9E3779B97F4A7C15))
+    for band, emitted, blocks in bands.of(len(grams)):
+        place = ((grams & U64(0xFFFFFFFFFFFF)) % U64(blocks)).astype(np.int64)
         sketch = np.zeros(blocks, dtype=U64)
         np.bitwise_xor.at(sketch, place, bits)
-        held = np.bincount(place, minlength=blocks)
-        full = np.flatnonzero(held)
-        if blocks - len(full) > slack:
-            full = np.arange(blocks)
-        key = full.astype(U64) * U64(0xD6E8FEB86659FD93) ^ U64(band * 0xA0761D6478BD642F % 2**64) ^ held[full].astype(U64) * U64(0xE7037ED1A0B428DB)
-        out.append(mixed(mixed(sketch[full]) ^ key) & ~U64(BANDS - 1) | U64(band))
-    return np.concatenate(out)
+        held = np.bincount(place, minlength=blocks).astype(U64)
+        key = np.arange(blocks, dtype=U64) * U64(0xD6E8FEB86659FD93) ^ U64(band * 0xA0761D6478BD642F % 2**64) ^ held * U64(0xE7037ED1A0B428DB)
+        sigs = mixed(mixed(sketch) ^ key)
+        short.append(struct.pack("<II", band, blocks) + sigs.astype(np.uint8).tobytes())
+        if emitted < blocks:
+            sigs = sigs[np.lexsort((sigs, held))[blocks - emitted :]]
+        out.append(sigs)
+    return np.concatenate(out), b"".join(short)
+
+
+def may_link(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
+    """Whether two sets of n and m n-grams may be linked: in a band of both, no more blocks differ than n-grams may."""
+    difference = (n + m) * (100 - percent) // (100 + percent)
+    own = {}
+    for sketch, bands in ((a, own), (b, None)):
+        at = 0
+        while at < len(sketch):
+            band, blocks = struct.unpack_from("<II", sketch, at)
+            blocks_of = np.frombuffer(sketch, dtype=np.uint8, count=blocks, offset=at + 8)
+            at += 8 + blocks
+            if bands is not None:
+                bands[band] = blocks_of
+            elif band in own and np.count_nonzero(own[band] != blocks_of) <= difference:
+                return True
+    return False
 
 
 def runs(sigs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -209,7 +210,7 @@ def _signed(documents: DataFrame, words: int, percent: int, buckets: int) -> Dat
                 documents.append({"kind": "document", "row_id": row_id, "file": file, "at": at, "n": len(grams), "node": node})
                 if node is not None and node not in seen:
                     seen.add(node)
-                    new = signatures(grams, bands)
+                    new, documents[-1]["a"] = signatures(grams, bands)
                     sigs.append(new)
                     nodes.append(np.full(len(new), node, dtype=np.int64))
                     held += len(new)
@@ -275,21 +276,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(held, "u").join(other, "v").select("u", "v", "tu", "tv").mapInArrow(work, "u long, v long")
 
 
-def _several(rows: DataFrame, column: str) -> DataFrame:
-    """Signatures that have more than one value of a column."""
-    return rows.groupBy("sig").agg(F.min(column).alias("a"), F.max(column).alias("b")).where("a <> b").select("sig")
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, node, label) of the signatures whose members lie in several components; stored."""
+    marked = members.join(narrow(labels), "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
+    marked = stored(marked, "join-marked")
+    several = marked.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("sig")
+    return stored(marked.join(several, "sig", "left_semi").distinct(), "join-apart")
 
 
-def _possible(pairs: DataFrame, members: DataFrame, spares: Column) -> DataFrame:
-    """The pairs (u, v) that share enough signatures of one band to be linked; stored."""
-    pairs = stored(pairs, "join-pairs")
-    nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    lists = members.join(nodes, "node", "left_semi").groupBy("node").agg(F.collect_set("sig").alias("sigs"))
-    lists = stored(lists, "join-lists")
-    both = pairs.join(lists.toDF("u", "a"), "u").join(lists.toDF("v", "b"), "v").select("u", "v", F.array_intersect("a", "b").alias("sigs"))
-    band = lambda s: s.bitwiseAND(F.lit(BANDS - 1)).cast("int")
-    enough = F.exists(F.array_distinct(F.transform("sigs", band)), lambda k: F.size(F.filter("sigs", lambda s: band(s) == k)) > spares[k])
-    return stored(both.where(enough).select("u", "v"), "join-possible")
+def _fitting(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that sizes and sketches allow to be linked; stored."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, a, b = [c.to_pylist() for c in batch.columns[2:]]
+            keep = pa.array([100 * min(i, j) >= percent * max(i, j) and may_link(x, y, i, j, percent) for i, j, x, y in zip(n, m, a, b)], pa.bool_())
+            yield batch.select([0, 1]).filter(keep)
+
+    sized = pairs.join(sketches.toDF("u", "n", "a"), "u").join(sketches.toDF("v", "m", "b"), "v").select("u", "v", "n", "m", "a", "b")
+    return stored(sized.mapInArrow(work, "u long, v long"), "join-pairs")
 
 
 def _texts(rows: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -302,38 +307,39 @@ def _texts(rows: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame
 
 def _labelled(rows: DataFrame, words: int, percent: int) -> DataFrame:
     """(row_id, n, file, at, label) of every row of (row_id, text, file, at); rows without words have no label."""
+    bounded_batches(rows.sparkSession)
     buckets = partitions(rows.sparkSession)
     signed = stored(_signed(rows, words, percent, buckets), "join-signed")
     met = stored(_met(signed, buckets), "join-met")
-    documents = signed.where("kind = 'document'").select("row_id", "n", "node", "file", "at")
+    documents = signed.where("kind = 'document'").select("row_id", "n", "node", "file", "at", F.col("a").alias("sketch"))
     both = signed.select("kind", *"abc").unionByName(met.select("kind", *"abc"))
     links = _unpacked(both, "link", ["u", "v", "times"])
     members = _unpacked(both, "member", ["sig", "node"])
 
-    # Each node without its most frequent signatures; of the rest, those that several nodes still share.
-    bands = Bands(percent)
-    spares = F.array(*[F.lit(bands.spare(k)) for k in range(bands.last() + 1)])
-    times = members.groupBy("sig").agg(F.count("*").alias("times"))
-    band = F.col("sig").bitwiseAND(F.lit(BANDS - 1)).cast("int")
-    place = F.row_number().over(Window.partitionBy("node", "band").orderBy(F.desc("times"), F.desc("sig")))
-    rare = members.join(times, "sig").withColumn("band", band).withColumn("place", place).where(F.col("place") > spares[F.col("band")]).select("sig", "node")
-    rare = stored(rare, "join-rare")
-    shared = stored(rare.join(_several(rare, "node"), "sig", "left_semi"), "join-shared")
+    sketches = documents.where("sketch IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = stored(sketches, "join-sketches")
 
     # First links: each node to the one it shares most signatures with, of those that lead one.
     closest = links.groupBy("u", "v").agg(F.sum("times").alias("times")).groupBy("u").agg(F.max(F.struct("times", "v")).alias("best"))
-    closest = _possible(closest.select("u", F.col("best.v").alias("v")), members, spares)
+    closest = _fitting(closest.select("u", F.col("best.v").alias("v")), sketches, percent)
     near = stored(_verified(closest, _texts(rows, documents, closest), words, percent), "join-links")
     labels = components(near)
 
-    # What is still apart: pairs of possible sizes that share a signature across components.
-    sizes = documents.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"))
-    marked = shared.join(labels, "node", "left").join(sizes, "node").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
-    marked = stored(marked, "join-marked")
-    apart = marked.join(_several(marked, "label"), "sig", "left_semi").distinct()
-    right = apart.select("sig", F.col("node").alias("v"), F.col("n").alias("m"), F.col("label").alias("other"))
-    fitting = (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & (F.col("label") < F.col("other"))
-    pairs = _possible(apart.join(right, "sig").where(fitting).select(F.col("node").alias("u"), "v").distinct(), members, spares)
+    # Second links, where signatures still join components: each node to the node that meets most others
+    # there, such as the original of a group of copies that are alike to it but not to each other.
+    apart = _apart(members, labels)
+    busy = apart.join(apart.groupBy("sig").agg(F.count("*").alias("times")), "sig").groupBy("node").agg(F.sum("times").alias("met"))
+    heads = apart.join(busy, "node").groupBy("sig").agg(F.max(F.struct("met", "node")).alias("head"))
+    closest = apart.join(heads, "sig").where("node <> head.node").groupBy(F.col("node").alias("u"), F.col("head.node").alias("v")).agg(F.count("*").alias("times"))
+    closest = closest.groupBy("u").agg(F.max(F.struct("times", "v")).alias("best"))
+    closest = _fitting(closest.select("u", F.col("best.v").alias("v")), sketches, percent)
+    near = near.unionByName(stored(_verified(closest, _texts(rows, documents, closest), words, percent), "join-links"))
+    labels = components(near)
+
+    # What is still apart: pairs that share a signature across components.
+    apart = _apart(members, labels)
+    right = apart.select("sig", F.col("node").alias("v"), F.col("label").alias("other"))
+    pairs = _fitting(apart.join(right, "sig").where("label < other").select(F.col("node").alias("u"), "v").distinct(), sketches, percent)
     more = stored(_verified(pairs, _texts(rows, documents, pairs), words, percent), "join-links")
     labels = components(near.unionByName(more))
 
