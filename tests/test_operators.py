@@ -386,3 +386,11 @@ def test_repeated_sums_survive_billions_of_records(spark):
     df = df.withColumns({c: F.lit("5.25").cast("decimal(22,2)") for c in ("ticket_rev", "con_rev", "merch_rev")})
     row = executive.fanned(df).first()
     assert int(row["fan_rows"]) == 2 * 10**33 and row["fan_ticket"] == row["fan_con"] / 2 and int(row["fan_con"] * 100) == 525 * 2 * 10**22
+
+
+def test_sold_tickets_stay_null_where_unknown(spark):
+    from venue_analytics.operators.quality import clean_ticket_sales
+
+    rows = [(i, s, a, 1.0, 1.0, 0.0) for i, (s, a) in enumerate([(None, 50), (60, 50), (40, 50), (40, None)])]
+    frame = spark.createDataFrame(rows, "ticket_sale_id int, tickets_sold int, tickets_available int, gross_ticket_revenue double, net_ticket_revenue double, discount_pct double")
+    assert {r.ticket_sale_id: r.tickets_sold for r in clean_ticket_sales(frame).collect()} == {0: None, 1: 50, 2: 40, 3: None}

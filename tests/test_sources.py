@@ -122,3 +122,21 @@ def test_segment_joins_broadcast(spark):
 
     plan = revenue_by_segment(workspace(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning(segment_id" not in plan
+
+
+def test_changed_folder_is_read_anew(spark, tmp_path):
+    """A replaced source file never answers with the tables stored before."""
+    import shutil
+
+    from venue_analytics.sources.tables import workspace
+
+    source = "/root/testdata/sf0.001"
+    for name in ("region", "nation", "customer", "orders", "lineitem"):
+        shutil.copy(f"{source}/{name}.parquet", tmp_path)
+    first = workspace(spark, str(tmp_path))
+    before = first["ticket_sales"].count()
+    assert workspace(spark, str(tmp_path)) is first
+    spark.read.parquet(f"{source}/lineitem.parquet").where("l_linenumber <= 3").toPandas().to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    after = workspace(spark, str(tmp_path))["ticket_sales"].count()
+    assert 0 < after < before
+    assert after == spark.read.parquet(str(tmp_path / "lineitem.parquet")).count()

@@ -190,7 +190,8 @@ def clean_attendance(df: DataFrame) -> DataFrame:
 
 
 def clean_ticket_sales(df: DataFrame) -> DataFrame:
-    df = df.withColumn("tickets_sold", F.least("tickets_sold", "tickets_available"))
+    both = F.col("tickets_sold").isNotNull() & F.col("tickets_available").isNotNull()  # least() would skip a null
+    df = df.withColumn("tickets_sold", F.when(both, F.least("tickets_sold", "tickets_available")))
     df = _clip(df, 0, None, "gross_ticket_revenue", "net_ticket_revenue")
     return _clip(df, 0, 100, "discount_pct")
 

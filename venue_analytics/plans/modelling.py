@@ -112,5 +112,8 @@ QUERIES = {
     "m19_segment_profile": lambda t: sg.segment_profile(segmented_fans(t)),
     "m4_attendance_forest": partial(model_metrics, fc.ATTENDANCE, "RandomForest"),
     "m5_attendance_boosting": partial(model_metrics, fc.ATTENDANCE, "GradientBoosting"),
+    "m4_revenue_forest": partial(model_metrics, fc.REVENUE, "RandomForest"),
+    "m5_revenue_boosting": partial(model_metrics, fc.REVENUE, "GradientBoosting"),
+    "m10_revenue_importances": partial(model_importances, fc.REVENUE, "GradientBoosting"),
     "m10_attendance_importances": partial(model_importances, fc.ATTENDANCE, "GradientBoosting"),
 }

@@ -19,6 +19,9 @@ from .adapter import SalesAdapter
 from .schemas import SCHEMAS
 
 
+LAYOUT = 2  # raised when the stored tables' columns or rules change
+
+
 class Tables(Mapping):
     """Domain tables by name. Values may be frames or zero-argument builders."""
 
@@ -77,9 +80,11 @@ class Workspace(Tables):
         self.spark = spark
         self.adapter = SalesAdapter(spark, folder)
         self.buckets = buckets or self._bucket_count()
-        stamp = hashlib.md5(f"{folder}|{self.buckets}".encode()).hexdigest()[:12]
+        self.fingerprint = source_fingerprint(spark, folder)
+        stamp = hashlib.md5(f"{LAYOUT}|{folder}|{self.buckets}|{self.fingerprint}".encode()).hexdigest()[:16]
         self._prefix = f"venue_{stamp}"
         self._root = f"{shared_root(spark)}/venue_analytics/{spark.sparkContext.applicationId}/{stamp}"
+        self._made: set[str] = set()
         self._lock = threading.RLock()
         super().__init__({name: self._builder(name) for name in SCHEMAS})
 
@@ -119,21 +124,45 @@ class Workspace(Tables):
 
     def _stored(self, name: str, frame: DataFrame, bucketed: bool) -> DataFrame:
         path, table = f"{self._root}/{name}", f"{self._prefix}_{name}"
-        if not self.spark.catalog.tableExists(table):
+        if table not in self._made:  # only what this workspace wrote itself counts, not a table of that name
             if bucketed:
                 writer = frame.repartition(self.buckets, "game_id").write.bucketBy(self.buckets, "game_id").sortBy("game_id")
             else:
                 writer = frame.write
             writer.mode("overwrite").option("path", path).saveAsTable(table)
+            self._made.add(table)
         return self.spark.table(table)
 
 
+    def forget(self) -> None:
+        """Drop the stored tables' names; a source that has changed gets a new workspace."""
+        with self._lock:
+            for table in self._made:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self._made.clear()
+
+
+def source_fingerprint(spark: SparkSession, folder: str) -> str:
+    """A digest of the paths, lengths and modification times of all files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()
+
+
 _OPEN: dict[tuple[str, str], Workspace] = {}
 
 
 def workspace(spark: SparkSession, folder: str) -> Workspace:
-    """The session's workspace over a folder, created on first use."""
+    """The session's workspace over a folder, created on first use and again whenever the folder's files have changed."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _OPEN:
-        _OPEN[key] = Workspace(spark, folder)
-    return _OPEN[key]
+    known = _OPEN.get(key)
+    if known is not None and known.fingerprint != source_fingerprint(spark, folder):
+        known.forget()
+        known = None
+    if known is None:
+        known = _OPEN[key] = Workspace(spark, folder)
+    return known
