@@ -37,8 +37,8 @@ WORDS = 4
 PERCENT = 85
 GROWTH = 1.4  # of a band's upper size over the one below
 SPARE = 3  # a sketch has a third more blocks than are emitted
-REMEMBERED = 300_000
-FLUSH = 500_000  # signatures that a task combines at a time
+REMEMBERED = 100_000
+FLUSH = 250_000  # signatures that a task combines at a time
 
 U64 = np.uint64
 
@@ -219,6 +219,7 @@ def _signed(documents: DataFrame, words: int, percent: int, buckets: int) -> Dat
                         sigs, nodes, seen, held = [], [], set(), 0
             yield _rows(documents)
         yield from flush()
+        _HASHES.clear()  # workers live on through later stages
 
     return documents.mapInArrow(work, PACKED)
 
@@ -270,6 +271,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             found = [(u, v) for u, v, k in zip(us, vs, keep) if k]
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
+        _HASHES.clear()
 
     held = texts.select(F.col("node").alias("u"), F.col("text").alias("tu"))
     other = texts.select(F.col("node").alias("v"), F.col("text").alias("tv"))
