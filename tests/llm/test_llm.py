@@ -305,6 +305,36 @@ def test_near_components_against_brute_force(spark, words, percent):
     assert sorted(map(tuple, shingle_join.near_components(frame, words, percent).collect())) == brute_components(rows, words, percent)
 
 
+def test_bit_sketches_bound_differences():
+    rnd = np.random.default_rng(1)
+    for n in (1, 40, 300, 2000, 9000):
+        x = rnd.integers(0, 2**63, n, dtype=np.uint64)
+        for m in (0, 1, 7, n // 5, n):
+            y = np.concatenate([x[m:], rnd.integers(0, 2**63, m // 2 + 1, dtype=np.uint64)])
+            a, b = shingle_join.parity_bits(x), shingle_join.parity_bits(y)
+            words = min(len(a), len(b))
+            differ = [int(np.bitwise_count(shingle_join.folded(a, w) ^ shingle_join.folded(b, w)).sum()) for w in (words, 16)]
+            assert differ[1] <= differ[0] <= len(np.setxor1d(x, y)) and (m > n // 10 or differ[0] >= 0.7 * len(np.setxor1d(x, y)))
+            for percent in (80, 85):
+                both = len(np.intersect1d(x, y))
+                assert 100 * both < percent * (len(x) + len(y) - both) or shingle_join.may_link(a.tobytes(), b.tobytes(), len(x), len(y), percent)
+
+
+def test_near_components_of_a_group_about_the_threshold(spark):
+    rnd = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    first = rnd.choices(vocabulary, k=150)
+    rows = []
+    for _ in range(250):
+        copy = list(first)
+        for _ in range(rnd.choice([1, 2, 2, 3, 3, 3, 4, 4, 5, 6, 9])):
+            copy[rnd.randrange(len(copy))] = rnd.choice(vocabulary)
+        rows.append((len(rows), " ".join(copy)))
+    rows += [(300 + i, t) for i, (_, t) in enumerate(rows[:20])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted(map(tuple, shingle_join.near_components(frame).collect())) == brute_components(rows, 4, 85)
+
+
 def test_near_components_of_odd_rows(spark, odd, empty):
     rows = shingle_join.near_components(odd).collect()
     assert len(rows) == len(ODD) and {(r.doc_id, r.component_id) for r in rows} == {(r[0], r[0]) for r in ODD}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -93,6 +94,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set(size, str(ARROW_BYTES))
 
 
+def release() -> None:
+    """Give memory that a Python worker has freed back to the machine; workers live on through later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], inputs: list[Column], outputs: T.StructType) -> DataFrame:
     """df with the columns that ``work`` computes, batch by batch, from the input expressions.
 
@@ -122,6 +132,7 @@ def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[li
             batch = waiting.pop(0)
             names = batch.schema.names[:n] + arrow_outputs.names
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *[a.cast(f.type) for a, f in zip(arrays, arrow_outputs)]], names)
+        release()
 
     return picked.mapInArrow(run, schema)
 

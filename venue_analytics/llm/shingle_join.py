@@ -5,8 +5,11 @@ band's pairs have a larger set of at most ``upper`` n-grams, so a linked pair di
 d = floor(2 * upper * (1 - t) / (1 + t)) of them. A sketch is a row of 64-bit parity blocks; every n-gram
 XORs its hash into one of them. A differing n-gram changes at most one block, so the sketches' Hamming
 distance, counted in blocks, is at most the sets' difference, and of d + 1 + spare blocks at least spare + 1 are equal in both (pigeonhole). Each block
-with its place and its number of n-grams is a signature; documents that share one are candidates and are
-verified on their texts.
+with its place and its number of n-grams is a signature; documents that share one are candidates. A second
+sketch has one parity bit per place, four to eight places an n-gram: few differences meet in one place, so its
+Hamming distance is close to the sets' difference, and never above it. XORing its halves gives the sketch
+of half the places, so sets of any two sizes compare. Candidates whose bits differ in more places than a
+linked pair may go; the others are verified on their texts.
 
 A document emits only the d + 1 signatures that hold most n-grams (ties by hash). This is one order for
 all documents, so the first of the equal blocks in it is never among the ``spare`` last of either
@@ -14,14 +17,13 @@ document: no link is lost, while blocks that hold little, and so meet by chance
 or nothing at all, aren't joined.
 
 Equal sets are one node. A signature shared by many nodes first gives links to the least of them only; what
-those verified links leave unconnected is then compared pair by pair, across components alone, so a
-large group of near copies never becomes all its pairs. Equal signatures are combined within each task
+those verified links leave unconnected is then compared pair by pair, across components alone and within the
+join, on the bits folded to a fixed width: a large group of near copies gives no row for a pair that isn't near. Equal signatures are combined within each task
 before the shuffle, so a very frequent one sends one entry a task.
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, located, narrow, partitions, stored, table
+from .common import bounded_batches, located, narrow, partitions, release, stored, table
 from .components import components
 
 WORDS = 4
 PERCENT = 85
 GROWTH = 1.4  # of a band's upper size over the one below
 SPARE = 3  # a sketch has a third more blocks than are emitted
+BITS = 4  # least places of the bit sketch for an n-gram
+FOLDED = 16  # 64-bit words of the bit sketch that a join compares
 REMEMBERED = 100_000
 FLUSH = 250_000  # signatures that a task combines at a time
 
@@ -108,9 +112,9 @@ class Bands:
         return out
 
 
-def signatures(grams: np.ndarray, bands: Bands) -> tuple[np.ndarray, bytes]:
-    """The signatures of a non-empty set, in each of its bands those of the blocks that hold most, and a byte of every block's."""
-    out, short = [], []
+def signatures(grams: np.ndarray, bands: Bands) -> np.ndarray:
+    """The signatures of a non-empty set, in each of its bands those of the blocks that hold most."""
+    out = []
     bits = mixed(grams ^ U64(0x9E3779B97F4A7C15))
     for band, emitted, blocks in bands.of(len(grams)):
         place = ((grams & U64(0xFFFFFFFFFFFF)) % U64(blocks)).astype(np.int64)
@@ -119,28 +123,33 @@ def signatures(grams: np.ndarray, bands: Bands) -> tuple[np.ndarray, bytes]:
         held = np.bincount(place, minlength=blocks).astype(U64)
         key = np.arange(blocks, dtype=U64) * U64(0xD6E8FEB86659FD93) ^ U64(band * 0xA0761D6478BD642F % 2**64) ^ held * U64(0xE7037ED1A0B428DB)
         sigs = mixed(mixed(sketch) ^ key)
-        short.append(struct.pack("<II", band, blocks) + sigs.astype(np.uint8).tobytes())
         if emitted < blocks:
             sigs = sigs[np.lexsort((sigs, held))[blocks - emitted :]]
         out.append(sigs)
-    return np.concatenate(out), b"".join(short)
+    return np.concatenate(out)
+
+
+def parity_bits(grams: np.ndarray) -> np.ndarray:
+    """The bit sketch of a set as 64-bit words, a power of two of them and FOLDED at least."""
+    places = 64 * FOLDED
+    while places < BITS * len(grams):
+        places *= 2
+    odd = np.bincount((mixed(grams ^ U64(0xA24BAED4963EE407)) & U64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(U64)
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch with so many words, as the set's own would be with so few places."""
+    while len(sketch) > words:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
 def may_link(a: bytes, b: bytes, n: int, m: int, percent: int) -> bool:
-    """Whether two sets of n and m n-grams may be linked: in a band of both, no more blocks differ than n-grams may."""
-    difference = (n + m) * (100 - percent) // (100 + percent)
-    own = {}
-    for sketch, bands in ((a, own), (b, None)):
-        at = 0
-        while at < len(sketch):
-            band, blocks = struct.unpack_from("<II", sketch, at)
-            blocks_of = np.frombuffer(sketch, dtype=np.uint8, count=blocks, offset=at + 8)
-            at += 8 + blocks
-            if bands is not None:
-                bands[band] = blocks_of
-            elif band in own and np.count_nonzero(own[band] != blocks_of) <= difference:
-                return True
-    return False
+    """Whether two sets of n and m n-grams may be linked: no more bits differ than n-grams may."""
+    x, y = np.frombuffer(a, dtype=U64), np.frombuffer(b, dtype=U64)
+    words = min(len(x), len(y))
+    return int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= (n + m) * (100 - percent) // (100 + percent)
 
 
 def runs(sigs: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -210,7 +219,7 @@ def _signed(documents: DataFrame, words: int, percent: int, buckets: int) -> Dat
                 documents.append({"kind": "document", "row_id": row_id, "file": file, "at": at, "n": len(grams), "node": node})
                 if node is not None and node not in seen:
                     seen.add(node)
-                    new, documents[-1]["a"] = signatures(grams, bands)
+                    new, documents[-1]["a"] = signatures(grams, bands), parity_bits(grams).tobytes()
                     sigs.append(new)
                     nodes.append(np.full(len(new), node, dtype=np.int64))
                     held += len(new)
@@ -219,7 +228,9 @@ def _signed(documents: DataFrame, words: int, percent: int, buckets: int) -> Dat
                         sigs, nodes, seen, held = [], [], set(), 0
             yield _rows(documents)
         yield from flush()
+        sigs, nodes, seen = [], [], set()
         _HASHES.clear()  # workers live on through later stages
+        release()
 
     return documents.mapInArrow(work, PACKED)
 
@@ -235,8 +246,10 @@ def _met(signed: DataFrame, buckets: int) -> DataFrame:
                 nodes.append(np.frombuffer(c, dtype=np.int64)[np.frombuffer(b, dtype=np.uint32)])
         if sigs:
             _, _, member_sigs, members, leaders = runs(np.concatenate(sigs), np.concatenate(nodes))
+            sigs, nodes = [], []
             if len(members):
                 yield _rows([_packed("member", member_sigs, members), _packed("link", *stars(members, leaders))])
+        release()
 
     packed = signed.where("kind = 'signature'").select("bucket", "a", "b", "c")
     return packed.repartitionById(buckets, F.col("bucket")).mapInArrow(work, PACKED)
@@ -272,6 +285,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
             found = [(u, v) for u, v, k in zip(us, vs, keep) if k]
             yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.int64()), pa.array([v for _, v in found], pa.int64())], ["u", "v"])
         _HASHES.clear()
+        release()
 
     held = texts.select(F.col("node").alias("u"), F.col("text").alias("tu"))
     other = texts.select(F.col("node").alias("v"), F.col("text").alias("tv"))
@@ -287,7 +301,7 @@ def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _fitting(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) that sizes and sketches allow to be linked; stored."""
+    """The pairs (u, v) that sizes and whole bit sketches allow to be linked; stored."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,6 +313,33 @@ def _fitting(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return stored(sized.mapInArrow(work, "u long, v long"), "join-pairs")
 
 
+def _near_pairs(apart: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) of different components that share a signature and whose sizes and folded bits allow a link.
+
+    The bits are compared in the join itself, so it has no row for the many pairs of a large group that aren't near.
+    """
+    names = [f"b{i}" for i in range(FOLDED)]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bits = np.stack([folded(np.frombuffer(x, dtype=U64), FOLDED) for x in batch.column(2).to_pylist()]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *[pa.array(bits[:, i]) for i in range(FOLDED)]], ["node", "n", *names])
+
+    met = sketches.join(apart.select("node").distinct(), "node", "left_semi").select("node", "n", "sketch")
+    short = stored(met.mapInArrow(work, "node long, n long, " + ", ".join(f"{b} long" for b in names)), "join-bits")
+    members = apart.join(narrow(short), "node")
+    u, v = members.alias("u"), members.alias("v")
+    differ = sum((F.bit_count(F.col(f"u.{b}").bitwiseXOR(F.col(f"v.{b}"))) for b in names[1:]), F.bit_count(F.col("u.b0").bitwiseXOR(F.col("v.b0"))))
+    near = (
+        (F.col("u.sig") == F.col("v.sig")) & (F.col("u.label") < F.col("v.label"))
+        & (100 * F.least("u.n", "v.n") >= percent * F.greatest("u.n", "v.n"))
+        & (differ * (100 + percent) <= (F.col("u.n") + F.col("v.n")) * (100 - percent))
+    )
+    return u.join(v, near).select(F.col("u.node").alias("u"), F.col("v.node").alias("v")).distinct()
+
+
 def _texts(rows: DataFrame, documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, text) of each node of the pairs, taken from one of its rows; stored."""
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
@@ -340,8 +381,7 @@ def _labelled(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
     # What is still apart: pairs that share a signature across components.
     apart = _apart(members, labels)
-    right = apart.select("sig", F.col("node").alias("v"), F.col("label").alias("other"))
-    pairs = _fitting(apart.join(right, "sig").where("label < other").select(F.col("node").alias("u"), "v").distinct(), sketches, percent)
+    pairs = _fitting(_near_pairs(apart, sketches, percent), sketches, percent)
     more = stored(_verified(pairs, _texts(rows, documents, pairs), words, percent), "join-links")
     labels = components(near.unionByName(more))
 
