@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from . import preparation
 from .base import avg, avgr, big, cnt, dbl, div, even, hu
 from .preparation import PLAIN
 
@@ -211,3 +212,10 @@ FROM (SELECT loyalty_status AS segment, {', '.join(f'{even(avg(c), 2)} AS m_{c}'
     "x7_category_baselines": f"SELECT category AS label, per_cap, unit_price FROM {CATS}",
     "x7_scenario_inventory": SCEN + f"SELECT scenario_id, category, {trunc('projected_attendance * (per_cap / unit_price) * inventory_buffer')} AS recommended_units FROM s3, {CATS}",
 }
+
+# The forecast page over a prediction table: the demand baseline, its error predicted minus actual.
+SCORED = f"""SELECT {M4}, season, day_of_week, month, actual_attendance, expected_attendance AS predicted_attendance,
+ -variance AS attendance_prediction_error, variance AS actual_minus_predicted, 100 * -variance < -8 * CAST(actual_attendance AS BIGINT) AS underperforming,
+ capacity_pct, attendance_tier, promotion_type FROM gap JOIN ({preparation.SQL["g2_demand_baseline"]}) demand USING (game_id)"""
+for _name in ("d5_forecast_frame", "d6_worst_misses", "d7_forecast_kpis"):
+    SQL[f"{_name}_scored"] = SQL[_name].replace(FORECAST, SCORED)

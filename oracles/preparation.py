@@ -194,3 +194,4 @@ GROUP BY game_id, category, units_sold, attendance_tier""",
 FROM (SELECT *, CASE WHEN used_promotion THEN round(ticket_spend * 0.88, 2) ELSE ticket_spend END AS t,
  CASE WHEN used_promotion THEN round(concession_spend * 1.15, 2) ELSE concession_spend END AS c FROM fan_transactions)""",
 }
+SQL["g5_merchandise_margin_and_units"] = SQL["g5_margin_and_units"].replace("FROM concessions", "FROM merchandise")

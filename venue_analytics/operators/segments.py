@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
-import pandas as pd
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.numeric import exact_avg, half_even
 
+log = logging.getLogger(__name__)
+
 # --- fixed values ---------------------------------------------------------------------------------
 BEHAVIOURAL_FEATURES = [
     "games_attended_last_12_months", "avg_ticket_spend", "avg_concession_spend", "avg_merchandise_spend",
@@ -47,76 +51,22 @@ def scale_features(df: DataFrame, columns: list[str] = SEGMENTATION_FEATURES) ->
     return scaled.withColumns({f"z_{c}": (value[c] - F.col("_stats")[f"m_{c}"]) / deviation(c) for c in columns}).drop("_stats")
 
 
-def _seed_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ starting centres from a bounded sample."""
-    centres = [sample[rng.integers(len(sample))]]
-    while len(centres) < k:
-        gap = np.min([((sample - c) ** 2).sum(axis=1) for c in centres], axis=0)
-        weights = gap / gap.sum() if gap.sum() > 0 else None
-        centres.append(sample[rng.choice(len(sample), p=weights)])
-    return np.array(centres)
-
-
-def _one_pass(features: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
-    """Per fit: member counts, coordinate sums and cost of its centres, from one scan of the data.
-
-    Each task reduces its rows to one row per fit and cluster; Spark adds those up, so only
-    fits x clusters rows reach the driver.
-    """
-    names = features.columns
-
-    def partial(batches):
-        totals = {f: [np.zeros(len(c)), np.zeros(c.shape), np.zeros(len(c))] for f, c in centres.items()}
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=float)
-            for f, c in centres.items():
-                gap = (x**2).sum(axis=1)[:, None] - 2.0 * x @ c.T + (c**2).sum(axis=1)
-                near = gap.argmin(axis=1)
-                own = np.eye(len(c))[near]
-                totals[f][0] += own.sum(axis=0)
-                totals[f][1] += own.T @ x
-                totals[f][2] += own.T @ np.maximum(gap[np.arange(len(x)), near], 0.0)
-        for f, (n, sums, cost) in totals.items():
-            out = pd.DataFrame(sums, columns=names)
-            yield out.assign(fit=f, cluster=np.arange(len(n)), n=n, cost=cost)
-
-    schema = ", ".join(f"{c} double" for c in names) + ", fit int, cluster int, n double, cost double"
-    summed = features.mapInPandas(partial, schema).groupBy("fit", "cluster").agg(*[F.sum(c).alias(c) for c in (*names, "n", "cost")])
-    out = {f: (np.zeros(len(c)), np.zeros(c.shape), 0.0) for f, c in centres.items()}
-    for r in summed.collect():
-        n, sums, cost = out[r["fit"]]
-        n[r["cluster"]] = r["n"]
-        sums[r["cluster"]] = [r[c] for c in names]
-        out[r["fit"]] = (n, sums, cost + r["cost"])
-    return out
-
-
 def kmeans(
-    features: DataFrame, ks: list[int], restarts: int, seed: int = SEED, max_iter: int = 300, tol: float = 1e-4, sample_rows: int = 10_000
+    features: DataFrame, ks: list[int], restarts: int, seed: int = SEED, max_iter: int = 300, tol: float = 1e-4
 ) -> dict[int, np.ndarray]:
-    """Centres of the lowest-cost fit per k.
+    """Centres of the lowest-cost fit per k; every fit seeds (k-means||) and iterates over all rows.
 
-    All restarts of all k advance together: an iteration is one scan however many fits are running, and a
-    fit leaves the scan once its centres have settled. Starting centres come from a hash-ordered sample of
-    at most ``sample_rows`` rows; every iteration uses all rows.
+    A chosen fit that used all its iterations may not have settled; that is logged.
     """
-    rng = np.random.default_rng(seed)
-    picked = features.orderBy(F.xxhash64(*features.columns, F.lit(seed)), *features.columns).limit(sample_rows)
-    sample = picked.toPandas().to_numpy(dtype=float)
-    fits = [(k, r) for k in ks for r in range(restarts)]
-    centres = {i: _seed_centres(sample, min(k, len(sample)), rng) for i, (k, _) in enumerate(fits)}
-    running = set(centres)
-    for _ in range(max_iter):
-        for f, (n, sums, _) in _one_pass(features, {f: centres[f] for f in running}).items():
-            moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1.0)[:, None], centres[f])
-            if ((moved - centres[f]) ** 2).sum() <= tol:
-                running.discard(f)
-            centres[f] = moved
-        if not running:
-            break
-    cost = {f: c for f, (_, _, c) in _one_pass(features, centres).items()}
-    best = {k: min((f for f, (kk, _) in enumerate(fits) if kk == k), key=lambda f: cost[f]) for k in ks}
-    return {k: centres[f] for k, f in best.items()}
+    vectors = VectorAssembler(inputCols=features.columns, outputCol="features").transform(features).select("features").persist()
+    best = {}
+    for k in ks:
+        fits = [KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vectors) for r in range(restarts)]
+        best[k] = min(fits, key=lambda model: model.summary.trainingCost)
+        if best[k].summary.numIter >= max_iter:
+            log.warning("K-Means of %d clusters had not settled after %d iterations", k, max_iter)
+    vectors.unpersist()
+    return {k: np.array(model.clusterCenters()) for k, model in best.items()}
 
 
 def assign_clusters(df: DataFrame, centres: np.ndarray, columns: list[str] = SEGMENTATION_FEATURES) -> DataFrame:
@@ -206,9 +156,7 @@ def assign_segment_labels(df: DataFrame) -> dict[int, str]:
 def segment_fans(fans: DataFrame, k: int = BUSINESS_K, restarts: int = 20, seed: int = SEED) -> DataFrame:
     """Profiles with encoded columns, cluster and fan_segment."""
     encoded = encode_features(fans)
-    scaled = _scaled_only(encoded, SEGMENTATION_FEATURES).persist()
-    centres = kmeans(scaled, [k], restarts, seed)[k]
-    scaled.unpersist()
+    centres = kmeans(_scaled_only(encoded, SEGMENTATION_FEATURES), [k], restarts, seed)[k]
     clustered = assign_clusters(scale_features(encoded), centres).select(*encoded.columns, "cluster")
     labels = assign_segment_labels(clustered)
     return clustered.withColumn("fan_segment", rules.lookup("cluster", labels, None))

@@ -13,6 +13,7 @@ from ..functions.numeric import exact_avg, half_even, half_up, safe_div, sum_d
 from ..operators.distribution import correlations, describe, histogram, seeded_sample
 from ..operators.features import attendance_features, build_features
 from ..operators.marts import full_revenue, hub, hub_with_revenue
+from .preparation import demand_baseline
 from .views import _best
 
 FAN_FEATURES = [
@@ -232,6 +233,13 @@ def forecast_kpis(t, predictions: DataFrame | None = None) -> DataFrame:
         F.count_if("underperforming").alias("underperforming_games"))
 
 
+def demand_predictions(t) -> DataFrame:
+    """The demand baseline as a prediction table, its error predicted minus actual as a model's."""
+    return demand_baseline(t).select(
+        "game_id", F.col("expected_attendance").cast("int").alias("predicted_attendance"),
+        (-F.col("variance")).cast("int").alias("attendance_prediction_error"))
+
+
 def attendance_by_weekday(t) -> DataFrame:
     df = hub(t, "attendance").groupBy("day_of_week").agg(exact_avg("actual_attendance").alias("avg_attendance"))
     return df.withColumn("day_number", rules.dow_ordinal("day_of_week")).orderBy("day_number")
@@ -465,6 +473,9 @@ QUERIES = {
     "d5_forecast_frame": forecast_frame,
     "d6_worst_misses": worst_misses,
     "d7_forecast_kpis": forecast_kpis,
+    "d5_forecast_frame_scored": lambda t: forecast_frame(t, demand_predictions(t)),
+    "d6_worst_misses_scored": lambda t: worst_misses(t, demand_predictions(t)),
+    "d7_forecast_kpis_scored": lambda t: forecast_kpis(t, demand_predictions(t)),
     "d8_attendance_by_weekday": attendance_by_weekday,
     "d8_attendance_by_month": attendance_by_month,
     "d8_attendance_by_opponent": attendance_by_opponent,

@@ -90,14 +90,14 @@ def inventory_recommendation(t) -> DataFrame:
     )
 
 
-def margins_and_units(t) -> DataFrame:
-    """Cost, margin and implied units (at least one) per concession record, summed by category."""
+def margins_and_units(table: str, t) -> DataFrame:
+    """Cost, margin and implied units (at least one) per concession or merchandise record, summed by category."""
     cost_share = F.lit(None)
-    for name, _, share in rules.CONCESSION_CATEGORIES:
+    for name, _, share in rules.CONCESSION_CATEGORIES if table == "concessions" else rules.MERCHANDISE_CATEGORIES:
         cost_share = F.when(F.col("category") == name, F.lit(share).cast("decimal(3,2)")).otherwise(cost_share)
     cost = F.round(F.col("gross_revenue") * cost_share, 2)
     units = F.greatest(F.lit(1).cast("bigint"), int_div(F.col("gross_revenue") * 100, F.col("avg_unit_price") * 100))
-    return t["concessions"].groupBy("category").agg(
+    return t[table].groupBy("category").agg(
         F.sum(cost).alias("cost"), F.sum(F.col("gross_revenue") - cost).alias("margin"), F.sum(units).alias("implied_units"),
     )
 
@@ -152,7 +152,8 @@ QUERIES = {
     "g2_demand_baseline": demand_baseline,
     "g3_weather_condition": weather_labels,
     "g4_inventory_recommendation": inventory_recommendation,
-    "g5_margin_and_units": margins_and_units,
+    "g5_margin_and_units": partial(margins_and_units, "concessions"),
+    "g5_merchandise_margin_and_units": partial(margins_and_units, "merchandise"),
     "g6_team_form": team_form,
     "g7_fan_value_score": fan_value_scores,
     "g8_calendar_flags": lambda t: calendar_flags(t, ADAPTER_PAIRS, ADAPTER_TELEVISED),
