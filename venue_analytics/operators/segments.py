@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -52,17 +53,25 @@ def scale_features(df: DataFrame, columns: list[str] = SEGMENTATION_FEATURES) ->
 
 
 def kmeans(
-    features: DataFrame, ks: list[int], restarts: int, seed: int = SEED, max_iter: int = 300, tol: float = 1e-4
+    features: DataFrame, ks: list[int], restarts: int, seed: int = SEED, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8
 ) -> dict[int, np.ndarray]:
     """Centres of the lowest-cost fit per k; every fit seeds (k-means||) and iterates over all rows.
 
-    A chosen fit that used all its iterations may not have settled; that is logged.
+    Up to ``parallelism`` fits run at a time over the same persisted vectors. A chosen fit that used all its iterations may not have settled; that is logged.
     """
     vectors = VectorAssembler(inputCols=features.columns, outputCol="features").transform(features).select("features").persist()
+    vectors.count()  # stored before the fits start together
+
+    def fit(task: tuple[int, int]):
+        k, restart = task
+        return KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vectors)
+
+    tasks = [(k, r) for k in ks for r in range(restarts)]
+    with ThreadPool(parallelism) as pool:
+        fits = list(zip(tasks, pool.map(fit, tasks)))
     best = {}
     for k in ks:
-        fits = [KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vectors) for r in range(restarts)]
-        best[k] = min(fits, key=lambda model: model.summary.trainingCost)
+        best[k] = min((model for (of, _), model in fits if of == k), key=lambda model: model.summary.trainingCost)
         if best[k].summary.numIter >= max_iter:
             log.warning("K-Means of %d clusters had not settled after %d iterations", k, max_iter)
     vectors.unpersist()
