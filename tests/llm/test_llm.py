@@ -82,6 +82,27 @@ def test_licence_scan_of_odd_rows(spark, odd, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_licence_scan_of_texts_that_open_with_a_phrase(spark):
+    texts = [tail for _, _, k in licenses.TEMPLATES for tail in (k, f"{k.title()}, 29 June 2007")]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    n = len(texts)
+    df = Counter(w for t in texts for w in set(t.lower().replace(",", "").split()))
+    idf = {w: round(math.log((n + 1) / (df[w] + 1)) + 1, 6) for _, t, _ in licenses.TEMPLATES for w in t.split()}
+    for r, text in zip(rows, texts):
+        words = text.lower().replace(",", "").split()
+        want, shares = set(), [0.0]
+        for label, template, key in licenses.TEMPLATES:
+            t, k = template.split(), key.split()
+            at = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
+            for p in range(len(words) - len(k) + 1):
+                if words[p : p + len(k)] == k:
+                    want.add((label, p - at))
+                    there = [w for i, w in enumerate(t) if 0 <= p - at + i < len(words) and words[p - at + i] == w]
+                    shares.append(sum(idf[w] for w in there) / sum(idf[w] for w in t))
+        assert {(p.label, p.start) for p in r.places} == want and len(r.places) == len(want)
+        assert r.labels == ",".join(sorted({label for label, _ in want})) and r.score == pytest.approx(max(shares), abs=2e-6)
+
+
 def test_licence_scan_is_native(spark):
     plan = licenses.op2_license_scan(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -4,7 +4,8 @@ Each template is indexed under the rarest words of its mandatory phrase, by the
 frequencies. A file's occurrences of those words are looked up; each posting (template, offset) turns
 an occurrence into a candidate start; a candidate that all of a template's index words agree on is
 verified by the whole mandatory phrase and scored by the share of the template's IDF weight in place.
-Every index word of a template stands in its mandatory phrase, so no place of a phrase is missed.
+Every index word of a template stands in its mandatory phrase, so no place of a phrase is missed. Where
+the words before the phrase are cut off by the text's begin, the start is negative and they count as absent.
 
 All work on a file stays in its row: two scans (document frequencies; look-ups), no shuffle of texts.
 What the driver sees is one number for each template word.
@@ -105,7 +106,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     key_of, at_of = f"{literal(keys)}[{which}]", f"{_array(map(str, key_at))}[{which}]"
     verified = found.selectExpr(
         *kept, "__words", "__n",
-        f"transform(filter(__found, c -> {start} >= 0 AND transform(slice(__words, {start} + {at_of} + 1, size({key_of})), w -> {low('w')}) = {key_of}), "
+        f"transform(filter(__found, c -> {start} + {at_of} >= 0 AND transform(slice(__words, {start} + {at_of} + 1, size({key_of})), w -> {low('w')}) = {key_of}), "
         f"c -> struct({which} AS template, {start} AS start)) AS __found",
     )
     weights = _array(_array(f"{idf[w]}D" for w in t) for t in templates)
