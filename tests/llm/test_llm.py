@@ -205,6 +205,24 @@ def test_language_model_against_brute_force(spark, docs):
     assert np.mean(gains) > 0
 
 
+def test_language_model_keeps_bigrams_seen_once(spark):
+    texts = ["a b c", "a b d", "e f g h", "e a", "h c e"]
+    lists = [[*t.split(), ""] for t in texts]
+    one = Counter(w for k in lists for w in k)
+    two = Counter(p for k in lists for p in zip(["", *k[:-1]], k))
+    n, v = sum(one.values()), len(one)
+    asked = [*texts, "f g h", "a c", "g g"]
+    frame = lambda rows: spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    rows = language_model.score(frame(asked), language_model.fit(frame(texts))).orderBy("doc_id").collect()
+    for r, text in zip(rows, asked):
+        want = 0.0
+        k = [*text.split(), ""]
+        for h, w in zip(["", *k[:-1]], k):
+            distinct = sum(c > 0 for (a, _), c in two.items() if a == h)
+            want += math.log10((max(two[h, w] - 0.75, 0) + 0.75 * distinct * (one[w] + 1) / (n + v + 1)) / one[h])
+        assert r.score == pytest.approx(want, rel=0.005)
+
+
 def test_language_model_of_odd_rows(odd, empty):
     rows = language_model.score(odd, language_model.fit(empty)).collect()
     assert [r.n_tokens for r in rows][:4] == [1, 1, 1, 5] and all(r.base_score == 0 and r.score == 0 for r in rows)

@@ -2,7 +2,7 @@
 
 Words are 64-bit hashes. Level one holds every training word (Elias-Fano), its exact count (differences
 of an Elias-Fano sequence of running sums) and its back-off weight in 16 bits. Level two holds the
-bigrams seen at least ``LEAST`` times: contexts, monotone pointers to each context's successors, the
+bigrams seen at least ``LEAST`` times, so all of them: contexts, monotone pointers to each context's successors, the
 successors as context-relative numbers in one monotone sequence, and the discounted counts in 16 bits
 on a log scale. Smoothing is interpolated absolute discounting over an add-one unigram:
 
@@ -37,7 +37,7 @@ from .common import append, bounded_batches, partitions, remainder_is, shared_fo
 from .elias_fano import U64, EliasFano, mapped, pack
 
 DISCOUNT = 0.75
-LEAST = 2
+LEAST = 1
 SPREAD = 16
 FLUSH = 1_000_000  # tokens that a task counts or scores at a time
 REMEMBERED = 1_000_000
