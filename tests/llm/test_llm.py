@@ -125,6 +125,17 @@ def test_language_of_odd_rows(odd, empty):
     assert language.predict(empty, model).count() == 0
 
 
+def test_language_sample_draws_copies_apart(spark):
+    rate = int(100 / 3000 * (1 << 30))
+    copied = spark.range(2000).select(F.repeat(F.lit("z"), F.col("id").cast("int") + 1).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < rate).agg(F.min(F.struct(F.length("t"), "t"))["t"]).head()[0]
+    other = f"right('{'y' * len(copied)}' || cast(id AS string), {len(copied)})" if len(copied) > 6 else f"repeat('y', {len(copied)})"
+    rows = spark.range(3000).selectExpr("id AS doc_id", f"if(id < 1000, '{copied}', {other}) AS text", "'en' AS lang")
+    _, matrix, _ = language.fit(rows, F.lit(True), per_language=100)
+    ids, _ = language.features(["z"])
+    whole = math.exp(matrix[ids[0], 0]) * (3 * len(copied) - 3) / len(copied)
+    assert 0.1 < whole < 0.6
+
+
 # ---- mixing ------------------------------------------------------------------------------------------
 def test_mix_meets_its_marginals(spark):
     rows = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()

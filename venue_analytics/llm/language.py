@@ -46,11 +46,11 @@ def features(texts: list[str], columns: int = COLUMNS) -> tuple[np.ndarray, np.n
     return (np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)), sizes
 
 
-def fit(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, columns: int = COLUMNS) -> tuple[list[str], np.ndarray, np.ndarray]:
+def fit(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, columns: int = COLUMNS, key: str = "doc_id") -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log-probabilities columns x languages, log-priors) from rows where ``usable`` holds.
 
     Rows without text or lang don't count. Each language gives about per_language rows at most, picked
-    by a hash of the text. No such row: no languages, and every prediction is `und`.
+    by a hash of the text and the row's key, so copies are drawn each for itself. No such row: no languages, and every prediction is `und`.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull())
@@ -59,7 +59,7 @@ def fit(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang",
     if not names:
         return [], np.zeros((columns, 0), np.float32), np.zeros(0)
     rates = F.create_map(*[F.lit(x) for n in names for x in (n, int(min(1.0, per_language / sizes[n]) * (1 << 30)))])
-    sample = rows.where(F.pmod(F.xxhash64(text), F.lit(1 << 30)) < rates[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sample = rows.where(F.pmod(F.xxhash64(text, key), F.lit(1 << 30)) < rates[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
