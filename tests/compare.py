@@ -44,7 +44,7 @@ def check(spark, con, folder: str, query, sql: str) -> str:
     rel = con.sql(sql)
     if sorted(df.columns) != sorted(rel.columns):
         return f"columns {sorted(set(df.columns) ^ set(rel.columns))}"
-    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
     duck_types = dict(zip(rel.columns, map(str, rel.types)))
     for name, kind in df.dtypes:
         if kinds.get(kind, kind) != duck_types[name]:
