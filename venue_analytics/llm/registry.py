@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, exact_dedup, language, language_model, licenses, mixing, sharding, shingle_join, tokens
+from . import chat, decontaminate, divergence, exact_dedup, language, language_model, licenses, mixing, sharding, shingle_join, tokens
 
-MODULES = [tokens, licenses, language, mixing, sharding, language_model, exact_dedup, decontaminate, chat, shingle_join]
+MODULES = [tokens, licenses, language, mixing, sharding, language_model, exact_dedup, decontaminate, chat, shingle_join, divergence]
 
 
 def all_queries() -> dict:
