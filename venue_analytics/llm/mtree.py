@@ -45,7 +45,7 @@ K = 10
 QUERY_EVERY = 100
 
 PAGE = 256  # entries of one node page: 128 KB of a leaf at 64 dimensions
-CANDIDATE_ROWS = 16384  # candidates of one block: one tree, about 8 MB at 64 dimensions
+CANDIDATE_ROWS = 4096  # candidates of one block: one tree, about 2 MB at 64 dimensions
 QUERY_ROWS = 2048  # queries that meet one block in one task
 
 HIT = T.StructType([T.StructField(n, T.LongType()) for n in ("query_id", "query_row", "vec_id", "score")])
@@ -301,15 +301,17 @@ def _block(candidates: pd.DataFrame, queries: pd.DataFrame, k: int = K) -> pd.Da
 
 def top_k(df: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     """query_id, rank (int, from 1), vec_id, score (long) of the k best candidates of each query row."""
-    valid = stored(integer_vectors(df, key, vector).withColumn("dim", F.size("v")), "mtree-vectors")
+    valid = stored(integer_vectors(df, key, vector).withColumn("dim", F.size("v").cast("long")), "mtree-vectors")
     valid = valid.withColumn("row", F.monotonically_increasing_id())
     n_rows = valid.count()
     queries = valid.where(F.pmod(F.col("vec_id"), F.lit(every)) == 0)
     n_queries = queries.count()
     blocks, query_blocks = max(1, -(-n_rows // CANDIDATE_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
-    spread = lambda n: F.pmod(F.xxhash64("vec_id", "row"), F.lit(n))
-    candidates = valid.select("dim", spread(blocks).alias("cblock"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qblock"), "vec_id", "v")
-    asked = queries.select("dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cblock"), spread(query_blocks).alias("qblock"), "vec_id", F.col("row").alias("query_row"), "v")
+    # Both sides' keys are long: cogroup meets groups by the hash of equal types only.
+    spread = lambda n: F.pmod(F.xxhash64("vec_id", "row"), F.lit(n)).cast("long")
+    every_block = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
+    candidates = valid.select("dim", spread(blocks).alias("cblock"), every_block(query_blocks).alias("qblock"), "vec_id", "v")
+    asked = queries.select("dim", every_block(blocks).alias("cblock"), spread(query_blocks).alias("qblock"), "vec_id", F.col("row").alias("query_row"), "v")
     keys = ["dim", "qblock", "cblock"]
     hits = candidates.groupby(*keys).cogroup(asked.groupby(*keys)).applyInPandas(lambda c, q: _block(c, q, k), HIT)
     hits = stored(hits, "mtree-hits")
