@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, divergence, mtree, exact_dedup, language, language_model, licenses, mixing, sharding, shingle_join, tokens
+from . import chat, decontaminate, divergence, mtree, whitening, exact_dedup, language, language_model, licenses, mixing, sharding, shingle_join, tokens
 
-MODULES = [tokens, licenses, language, mixing, sharding, language_model, exact_dedup, decontaminate, chat, shingle_join, divergence, mtree]
+MODULES = [tokens, licenses, language, mixing, sharding, language_model, exact_dedup, decontaminate, chat, shingle_join, divergence, mtree, whitening]
 
 
 def all_queries() -> dict:
