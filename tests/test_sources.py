@@ -132,7 +132,7 @@ def test_changed_folder_is_read_anew(spark, tmp_path):
 
     source = "/root/testdata/sf0.001"
     for name in ("region", "nation", "customer", "orders", "lineitem"):
-        shutil.copy(f"{source}/{name}.parquet", tmp_path)
+        shutil.copyfile(f"{source}/{name}.parquet", tmp_path / f"{name}.parquet")  # not the read-only mode
     first = workspace(spark, str(tmp_path))
     before = first["ticket_sales"].count()
     assert workspace(spark, str(tmp_path)) is first
