@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import check, duck
-from venue_analytics.llm import chat, common, components, decontaminate, exact_dedup, language, language_model, licenses, mixing, registry, sharding, shingle_join, tokens
+from venue_analytics.llm import chat, common, components, decontaminate, divergence, exact_dedup, language, language_model, licenses, mixing, mtree, registry, sharding, shingle_join, tokens, whitening
 from venue_analytics.llm.elias_fano import EliasFano, mapped, pack
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,7 +46,7 @@ def test_query_equals_statement(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.all_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.all_queries()) == list(range(1, 14))
 
 
 # ---- token counts ------------------------------------------------------------------------------------
@@ -419,3 +419,150 @@ def test_pipeline_stages_against_brute_force(spark):
             assert kept < {r.doc_id for r in before}
         assert docs.columns == columns + (["slot", "shard"] if name == "sharding" else [])
     assert {r.doc_id for r in pipeline.run(spark, FOLDER).collect()} == kept
+
+
+# ---- source divergence -------------------------------------------------------------------------------
+def _divergence_brute(rows):
+    """Plain-Python audit: every kept term of every group, f summed over all of them."""
+    import re
+
+    term = re.compile(divergence.TERM)
+    docs = [((lang or ""), (source or ""), term.findall((text or "").translate(str.maketrans(common.UPPER, common.LOWER)))) for text, lang, source in rows]
+    groups = sorted({(l, s) for l, s, _ in docs})
+    out = []
+    for lang in sorted({l for l, _ in groups}):
+        df = Counter(t for l, _, ts in docs if l == lang for t in set(ts))
+        kept = sorted(t for t, c in df.items() if c >= divergence.LEAST_DOCUMENTS)
+        v = len(kept)
+        counts = {s: Counter(t for l, s2, ts in docs if l == lang and s2 == s for t in ts) for l, s in groups if l == lang}
+        lang_counts = sum(counts.values(), Counter())
+        total = {s: sum(c[t] for t in kept) for s, c in counts.items()}
+        p = lambda c, n: 1 + (divergence.SCALE * (c + 1)) // (n + v)
+        n_lang = sum(lang_counts[t] for t in kept)
+        for s in counts:
+            pairs = []
+            for o in counts:
+                if o != s:
+                    pairs.append((o, sum((p(counts[s][t], total[s]) - p(counts[o][t], total[o])) ** 2 // p(counts[o][t], total[o]) for t in kept)))
+            terms = []
+            for t in kept:
+                a, q = p(counts[s][t], total[s]), p(lang_counts[t], n_lang)
+                if counts[s][t] > 0 and a > q:
+                    terms.append((t, (a - q) ** 2 // q))
+            for part, items, cap in (("pair", pairs, None), ("term", terms, divergence.TOP_TERMS)):
+                ranked = sorted(items, key=lambda iv: (-iv[1], iv[0].encode()))[:cap]
+                out += [(lang, s, part, item, value, r + 1) for r, (item, value) in enumerate(ranked)]
+    return sorted(out)
+
+
+def test_divergence_equals_brute_force_on_odd_rows(spark):
+    rows = [
+        ("The cat sat", "en", "a"), ("the CAT ran", "en", "b"), ("cat dog cat", "en", "a"), (None, "en", "c"), ("dog the cat", None, None),
+        ("cat cat cat dog the", "en", "b"), ("éclair café Cat", "fr", "x"), ("café éclair", "fr", "y"), ("café", "fr", "x"), ("x" * 5000 + " cat", "en", "a"),
+        ("the cat", "en", "a"), ("the cat", "en", "a"), ("12 ab_cd ab[cd", "de", None),
+    ]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").withColumn("term", F.lit("clash")).withColumn("rank", F.lit(7))
+    got = sorted(tuple(r) for r in divergence.audit(df).collect())
+    assert got == _divergence_brute(rows)
+    assert any(r[2] == "pair" and r[4] > 0 for r in got) and any(r[2] == "term" for r in got)
+
+
+def test_divergence_edge_tables(spark):
+    assert divergence.audit(spark.createDataFrame([], "text string, lang string, source string")).count() == 0
+    few = spark.createDataFrame([("a b", "en", "s"), ("c", "en", "t")], "text string, lang string, source string")
+    assert sorted(tuple(r) for r in divergence.audit(few).collect()) == [("en", "s", "pair", "t", 0, 1), ("en", "t", "pair", "s", 0, 1)]
+
+
+# ---- exact top-k -------------------------------------------------------------------------------------
+def _top_brute(rows, k=10):
+    valid = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for qi, qv in valid:
+        if qi % 100:
+            continue
+        scored = sorted(((-sum(a * b for a, b in zip(qv, cv)), ci) for ci, cv in valid if ci != qi and len(cv) == len(qv)))[:k]
+        out += [(qi, r + 1, ci, -s) for r, (s, ci) in enumerate(scored)]
+    return sorted(out)
+
+
+def test_top_k_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(700)]
+    rows += [(700 + i, rows[3][1]) for i in range(30)]  # a group of copies: ties go to the smaller id
+    rows += [(800, None), (900, [1.0, None] + [0.0] * 6), (1000, [math.inf] + [0.0] * 7), (None, [1.0] * 8), (1100, [0.5] * 4), (200, rows[200][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
+    got = sorted(tuple(r) for r in mtree.top_k(df).collect())
+    assert got == _top_brute(rows)
+
+
+def test_tree_search_prunes_on_clustered_vectors():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(20, 16)) * 50
+    points = np.rint(centres[rng.integers(0, 20, 5000)] + rng.normal(size=(5000, 16))).astype(np.int64)
+    ids = np.arange(5000)
+    pages = mtree.Pages(mtree.build(points.astype(float)), points.astype(float), ids)
+    queries = points[::100].astype(float)
+    scores, found, products = mtree.search_many(pages, queries, ids[::100])
+    for j, q in enumerate(points[::100]):
+        s = points @ q
+        best = sorted((-s[i], i) for i in range(5000) if i != j * 100)[:10]
+        assert [(-a, b) for a, b in best] == list(zip(scores[j].astype(int), found[j]))
+    assert products < 0.5 * len(queries) * len(points)
+
+
+def test_top_k_empty(spark):
+    assert mtree.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+# ---- whitening ---------------------------------------------------------------------------------------
+def pd_isna(v) -> bool:
+    return v is None or (isinstance(v, float) and math.isnan(v))
+
+
+def test_whitening_equals_eigh(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(400, 6)) @ rng.normal(size=(6, 6))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(base)] + [(1000 + i, [float(x) for x in base[0]]) for i in range(50)]
+    rows += [(2000, None), (2001, [math.nan] * 6), (2002, [1.0] * 3), (None, [float(x) for x in base[1]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("component", F.lit("clash"))
+    got = whitening.whiten(df).toPandas()
+    kept = [(i, v) for i, v in rows if v is not None and len(v) == 6 and all(math.isfinite(x) for x in v)]
+    x = np.array([[math.floor(64 * c) + 1_000_000 for c in v] for _, v in kept], dtype=np.int64)
+    fit = np.unique(x, axis=0)
+    n, s = len(fit), fit.sum(axis=0)
+    y = (fit * n - s) / n
+    e, u = np.linalg.eigh(y.T @ y / n)
+    order = np.argsort(-e)
+    e, u = e[order], u[:, order]
+    want = ((x * n - s) / n) @ u / np.sqrt(e)
+    assert len(got) == len(kept) * 6 and set(got.n) == {n}
+    assert got.identity_error.iloc[0] < 1e-9
+    at = {i: j for j, (i, _) in enumerate(kept)}
+    for c in range(6):
+        part = got[got.component == c + 1]
+        w = part.whitened.to_numpy()
+        rows_of = [at[None if pd_isna(i) else int(i)] for i in part.vec_id]
+        want_c = want[rows_of, c]
+        sign = np.sign(w @ want_c)
+        assert np.abs(w - sign * want_c).max() < 1e-8
+        assert abs(part.explained.iloc[0] - e[c] / e.sum()) < 1e-4 * e[c] / e.sum()
+    assert sorted(got[got.component == 1].deviation) == sorted(int(v) for v in ((x * n - s) ** 2).sum(axis=1))
+
+
+def test_whitening_degenerate_tables(spark):
+    schema = "vec_id long, embedding array<double>"
+    assert whitening.whiten(spark.createDataFrame([], schema)).count() == 0
+    assert whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], schema)).count() == 0
+    line = whitening.whiten(spark.createDataFrame([(i, [float(i), 2.0 * i]) for i in range(10)], schema)).toPandas()
+    assert set(line.component) == {1} and len(line) == 10
+
+
+def test_jacobi_on_a_cholesky_factor():
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=(9, 5))
+    c = a @ a.T  # rank 5
+    g = whitening.pivoted_cholesky(c)
+    assert g.shape[1] == 5 and np.allclose(g @ g.T, c)
+    values, vectors = whitening.one_sided_jacobi(g)
+    e = np.sort(np.linalg.eigvalsh(c))[::-1][:5]
+    assert np.allclose(values, e) and np.allclose(vectors.T @ vectors, np.eye(5))
