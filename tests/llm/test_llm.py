@@ -566,3 +566,11 @@ def test_jacobi_on_a_cholesky_factor():
     values, vectors = whitening.one_sided_jacobi(g)
     e = np.sort(np.linalg.eigvalsh(c))[::-1][:5]
     assert np.allclose(values, e) and np.allclose(vectors.T @ vectors, np.eye(5))
+
+
+def test_dedup_of_a_memory_frame_with_a_constant_digest_checks_bytes(spark):
+    """A frame that is no file scan is located once, so the byte check sees every clash of the digest."""
+    rows = [(1, "a b"), (2, "ab"), (3, "x"), (4, "y y"), (5, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("file", F.lit("clash")).withColumn("at", F.lit(0))
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.deduplicate(df, digest=lambda c: F.lit("same")).collect()}
+    assert got == {1: (1, 2), 2: (1, 2), 3: (3, 1), 4: (4, 1), 5: (5, 1)}

@@ -35,9 +35,17 @@ def sha256(normalised: Column) -> Column:
     return F.sha2(normalised, 256)
 
 
+def locate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text, file, at): the rows with their locators, taken once; a frame that is no file scan is stored here."""
+    return located(docs, F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+
 def write_log(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """The narrow log of a Parquet table, appended to ``path``."""
-    log = located(docs, F.col(key).alias("doc_id"), digest(normal(F.col(text))).alias("digest"), F.length(F.coalesce(text, F.lit(""))).cast("long").alias("points"))
+    """The narrow log of a table located by ``locate``, appended to ``path``."""
+    if not {"file", "at"} <= set(docs.columns):
+        docs = locate(docs, key, text)
+        key, text = "doc_id", "text"
+    log = docs.select(F.col(key).alias("doc_id"), digest(normal(F.col(text))).alias("digest"), F.length(F.coalesce(text, F.lit(""))).cast("long").alias("points"), "file", "at")
     log.write.mode("append").parquet(path)
     return docs.sparkSession.read.schema(log.schema).parquet(path)
 
@@ -71,13 +79,14 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
     """
     spark = docs.sparkSession
     path = shared_folder(spark, "dedup-log")
-    log = write_log(docs, path, key, text, digest)
+    docs = locate(docs, key, text)  # once: log and byte check must name the same rows
+    log = write_log(docs, path, "doc_id", "text", digest)
     if log.isEmpty():
         empty = log.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
         return empty
     state = stored(stream_log(spark, log, path, shared_folder(spark, "dedup-state")), "dedup-entries")
     seen_again = stored(log.join(state.where("group_size > 1").select("digest"), "digest", "left_semi").select("file", "at", "digest"), "dedup-hits")
-    texts = located(docs, normal(F.col(text)).alias("normal")).join(narrow(seen_again), ["file", "at"])
+    texts = docs.select(normal(F.col("text")).alias("normal"), "file", "at").join(narrow(seen_again), ["file", "at"])
     clash = stored(texts.groupBy("digest").agg(F.min("normal").alias("a"), F.max("normal").alias("b")).where("a <> b").select("digest"), "dedup-clashes")
     joined = log.join(state, "digest")
     if not clash.isEmpty():
