@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from venue_analytics.operators import distribution, features, forecast, quality, segments
-from venue_analytics.operators.lagged import lagged_means
+from venue_analytics.operators.lagged import lagged_means, with_slices
+from venue_analytics.operators.positions import dense_numbers, positions
 from venue_analytics.operators.ranking import dense_rank_desc
 from venue_analytics.plans import ancillary, attendance, executive, insights, scenario, views
 
@@ -50,6 +51,30 @@ def test_lagged_slices_equal_one_window(spark, max_rows):
     assert lagged(spark, rows, 5, max_rows) == want
 
 
+def test_positions_exact_with_a_crowded_date_and_a_far_outlier_id(spark):
+    """One key holds a crowded date and an id far beyond the rest: places stay exact, slices stay bounded."""
+    rows = [(0, day(0), i) for i in range(3000)] + [(0, day(0), 10**15), (0, day(1), 5), (1, day(0), 7), (None, day(2), 1), (None, day(2), 2)]
+    df = spark.createDataFrame(rows, "team int, d date, id bigint")
+    got = {(r["team"], r["id"]): r["_pos"] for r in positions(df, "team", ["d", "id"], parts=8).collect()}
+    want = {}
+    for team in {r[0] for r in rows}:
+        for place, r in enumerate(sorted((r for r in rows if r[0] == team), key=lambda r: (r[1], r[2]))):
+            want[(team, r[2])] = place
+    assert got == want
+    sizes = with_slices(df, "team", "d", "id", 500, 5).groupBy("team", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 505 and len(sizes) >= 7
+
+
+def test_lagged_means_with_an_outlier_id_equal_one_window(spark):
+    rows = [(0, day(0), i, i % 7) for i in range(300)] + [(0, day(0), 10**12, 50), (0, day(1), 3, 9)]
+    mine = sorted(rows, key=lambda r: (r[1], r[2]))
+    want = {}
+    for i, r in enumerate(mine):
+        prior = [p[3] for p in mine[max(0, i - 4):i]]
+        want[r[2]] = sum(prior) / len(prior) if prior else None
+    assert lagged(spark, rows, 4, 16) == want
+
+
 # ---- ranking -------------------------------------------------------------------------------------
 @pytest.mark.parametrize("max_rows", [1, 5, 30, 1000])
 def test_dense_rank_of_crowded_keys(spark, max_rows):

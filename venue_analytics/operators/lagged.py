@@ -1,8 +1,10 @@
 """Means over a group's previous rows, for groups of any size.
 
-A plain window would send a whole group to one task. Here every group is cut, in its own order, into
-slices of at most about ``max_rows`` rows; a slice is one task's window, and the few rows before a slice
-come from a small frame of slice tails. Results equal the unsliced window exactly.
+A plain window would send a whole group to one task. Here every row gets its exact place in its group
+(``positions``: range partitioning, counts per partition summed in order), the places are cut into
+slices of ``max_rows`` rows, and each slice is one task's window. The ``depth`` rows before a slice are
+copied into it as its halo, chosen by place too, so neither a crowded date nor a far outlier id can
+make a slice larger than ``max_rows + depth`` rows. Results equal the unsliced window exactly.
 """
 
 from __future__ import annotations
@@ -12,22 +14,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .positions import positions
 
-def with_slices(df: DataFrame, key: str, date: str, row_id: str, max_rows: int, counted: DataFrame | None = None) -> DataFrame:
-    """Add ``_slice``: equal-depth slices of each key along (date, row_id).
 
-    Sizes come from an exact count per key and date, so one crowded date is split as well (by position in
-    its id range) and sparse dates share a slice. The running sum sees one row per key and date.
+def with_slices(df: DataFrame, key: str, date: str, row_id: str, max_rows: int, depth: int = 0) -> DataFrame:
+    """Rows with ``_pos`` (place in the key by date, row_id), ``_slice`` and ``_halo``.
+
+    Every row appears once in its own slice (``_halo`` false) and once more in each later slice whose
+    first ``depth`` predecessors it belongs to (``_halo`` true): at most ceil(depth / max_rows) copies.
     """
-    per_date = (df if counted is None else counted).groupBy(key, date).agg(
-        F.count("*").alias("_n"), F.min(row_id).alias("_low"), F.max(row_id).alias("_high")
-    )
-    before = F.coalesce(F.sum("_n").over(W.partitionBy(key).orderBy(date).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    per_date = per_date.withColumn("_before", before)
-    span = (F.col("_high") - F.col("_low") + 1).cast("double")
-    within = F.floor(F.col("_n") * ((F.col(row_id) - F.col("_low")).cast("double") / span))
-    slice_no = F.floor((F.col("_before") + within) / F.lit(float(max_rows))).cast("bigint")
-    return df.join(per_date, [key, date], "left").withColumn("_slice", slice_no).drop("_n", "_low", "_high", "_before")
+    placed = positions(df, key, [date, row_id])
+    own = placed.withColumn("_slice", F.floor(F.col("_pos") / max_rows)).withColumn("_halo", F.lit(False))
+    first, last = F.floor(F.col("_pos") / max_rows) + 1, F.floor((F.col("_pos") + depth) / max_rows)
+    later = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    halo = placed.select("*", F.explode(later).alias("_slice")).withColumn("_halo", F.lit(True))
+    return own.unionByName(halo)
 
 
 def _exact_type(dtype: T.DataType) -> T.DataType:
@@ -50,32 +51,16 @@ def lagged_means(
     """Add, per output name, the mean of a column over the n rows of the same key before this one.
 
     Rows are ordered by (date, row_id). Missing values inside the n rows are skipped, and fewer than n
-    previous rows are enough; a first row gets null. All outputs share one shuffle and one sort. Value
-    columns must be integer or decimal, so the means do not depend on summation order.
-
-    Pass a frame with the needed columns only: it is shuffled once, and read once more to count rows per
-    date unless ``counted`` names a cheaper frame with the same keys, dates and ids.
+    previous rows are enough; a first row gets null. All outputs share one window. Value columns must be
+    integer or decimal, so the means do not depend on summation order. ``counted`` is no longer needed
+    (places are counted exactly on ``df``) and is accepted for callers that pass it.
     """
     depth = max(n for _, n in outputs.values())
     columns = list(dict.fromkeys(value for value, _ in outputs.values()))
     types = {f.name: f.dataType for f in df.schema.fields}
-    sliced = with_slices(df, key, date, row_id, max_rows, counted)
-    record = F.struct(date, row_id, *columns)
-
-    group = W.partitionBy(key, "_slice")
-    newest = F.row_number().over(group.orderBy(F.desc(date), F.desc(row_id)))
-    tails = (
-        sliced.withColumn("_r", newest).where(F.col("_r") <= depth)
-        .groupBy(key, "_slice").agg(F.sort_array(F.collect_list(record)).alias("_tail"))
-    )
-    # Every slice holds at least one row, so the previous `depth` slices supply the rows before it.
-    earlier = F.flatten(F.collect_list("_tail").over(W.partitionBy(key).orderBy("_slice").rowsBetween(-depth, -1)))
-    halo = tails.select(key, "_slice", earlier.alias("_halo"))
-
-    inside = F.collect_list(record).over(group.orderBy(date, row_id).rowsBetween(-depth, -1))
-    out = sliced.withColumn("_inside", inside)
-    # One row per slice: at most rows / max_rows plus the number of keys. AQE broadcasts it when it is small.
-    out = out.join(halo, [key, "_slice"], "left")
-    out = out.withColumn("_prior", F.coalesce(F.concat("_halo", "_inside"), "_inside"))
+    sliced = with_slices(df, key, date, row_id, max_rows, depth)
+    record = F.struct(*columns)
+    window = W.partitionBy(key, "_slice").orderBy("_pos").rowsBetween(-depth, -1)
+    out = sliced.withColumn("_prior", F.collect_list(record).over(window)).where(~F.col("_halo"))
     means = {name: _mean_of_last(F.col("_prior"), n, value, types[value]) for name, (value, n) in outputs.items()}
     return out.withColumns(means).select(*df.columns, *outputs)
