@@ -3,52 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .positions import positions
+
 
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """key, rows: how many rows each key holds (combined map-side)."""
     return df.groupBy(key).agg(F.count("*").alias("rows"))
 
 
-def dense_rank_desc(
-    df: DataFrame, key: str, value: str, name: str, counts: DataFrame | None = None, attributes: DataFrame | None = None,
-    max_rows: int = 1_000_000,
-) -> DataFrame:
-    """DENSE_RANK() OVER (PARTITION BY key ORDER BY value DESC), safe for keys of any size.
+def dense_rank_desc(df: DataFrame, key: str, value: str, name: str, attributes: DataFrame | None = None) -> DataFrame:
+    """DENSE_RANK() OVER (PARTITION BY key ORDER BY value DESC NULLS FIRST), for keys of any size and shape.
 
-    Keys up to ``max_rows`` rows take the plain window. Larger keys are cut into slices of their value
-    range, each slice is ranked in its own task and shifted by the number of distinct values above it; a
-    slice boundary never separates equal values. ``counts`` (key, rows) saves counting the keys here.
-    ``attributes`` has one row per key and is inner-joined; for ordinary keys the join and the window
-    share one shuffle.
+    Equal values share a rank, so only the distinct (key, value) pairs are ranked: partial aggregation
+    folds a crowded value map-side, the pairs are numbered by their exact place in falling order
+    (``positions``: range partitions and prefix sums, no window over a key, no size switch), and the
+    numbers join back on (key, value), null-safe. A single-valued key of any size is one pair; its rows
+    meet that one pair in a join that adaptive execution splits when skewed. ``attributes`` has one row
+    per key and is inner-joined.
     """
-    counts = key_counts(df, key) if counts is None else counts
-    # At most rows / max_rows keys can qualify, so the broadcasts below are bounded by construction.
-    crowded = F.broadcast(counts.where(F.col("rows") > max_rows).select(key, F.ceil(F.col("rows") / F.lit(max_rows)).alias("_slices")))
-
-    ordinary = df.join(crowded.select(key), key, "left_anti")
-    if attributes is not None:
-        ordinary = ordinary.join(attributes, key)
-    order = F.desc_nulls_first(value)
-    plain = ordinary.withColumn(name, F.dense_rank().over(W.partitionBy(key).orderBy(order)))
-
-    rows = df.join(crowded, key)
-    span = rows.groupBy(key).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
-    rows = rows.join(F.broadcast(span), key)
-    width = F.nullif((F.col("_high") - F.col("_low")).cast("double"), F.lit(0.0))
-    place = F.floor((F.col("_high") - F.col(value)).cast("double") / width * F.col("_slices")).cast("int")
-    # Nulls rank first, so they belong to the top slice; a single-valued key has no width and one slice.
-    rows = rows.withColumn("_slice", F.when(place.isNotNull(), F.least(place, F.col("_slices").cast("int") - 1)).otherwise(0))
-    distinct = rows.groupBy(key, "_slice", value).agg(F.lit(1).alias("_one")).groupBy(key, "_slice").agg(F.count("*").alias("_values"))
-    above = F.sum("_values").over(W.partitionBy(key).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1))
-    shift = distinct.select(key, "_slice", F.coalesce(above, F.lit(0)).alias("_shift"))
-    local = F.dense_rank().over(W.partitionBy(key, "_slice").orderBy(order))
-    sliced = rows.repartition(key, "_slice").withColumn("_local", local).join(F.broadcast(shift), [key, "_slice"])
-    sliced = sliced.withColumn(name, (F.col("_local") + F.col("_shift")).cast("int"))
-    if attributes is not None:
-        # Only attributes of crowded keys: again at most rows / max_rows rows.
-        few = attributes.join(crowded.select(key), key, "left_semi")
-        sliced = sliced.join(F.broadcast(few), key)
-    return plain.unionByName(sliced.select(*plain.columns))
+    pairs = df.select(key, value).distinct()
+    numbered = positions(pairs, key, [F.desc_nulls_first(value)], "_place").select(
+        F.col(key).alias("_key"), F.col(value).alias("_value"), (F.col("_place") + 1).cast("int").alias(name)
+    )
+    ranked = df.join(numbered, F.col(key).eqNullSafe(F.col("_key")) & F.col(value).eqNullSafe(F.col("_value"))).drop("_key", "_value")
+    return ranked.join(attributes, key) if attributes is not None else ranked
