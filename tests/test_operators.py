@@ -1,6 +1,7 @@
 """Operators on small fixtures, against hand-computed or brute-force results."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -94,6 +95,19 @@ def test_dense_rank_of_crowded_keys(spark, single):
 
 
 # ---- distribution --------------------------------------------------------------------------------
+def test_exact_quantiles_with_a_far_outlier(spark):
+    """One value of 2^60 beside many small ones: the descent narrows to single values, results exact."""
+    x = [i % 977 for i in range(20000)] + [2**60, -(2**40)]
+    df = spark.createDataFrame([(v,) for v in x], "x bigint")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.999, 1.0]
+    got = distribution.exact_quantiles(df, ["x"], probs).collect()[0]
+    data = sorted(x)
+    for i, p in enumerate(probs):
+        at = p * (len(data) - 1)
+        lo, hi = data[math.floor(at)], data[math.ceil(at)]
+        assert got[f"q{i}"] == float(lo) + (float(hi) - float(lo)) * (at - math.floor(at))
+
+
 def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.integers(0, 10**9, 500), np.full(400, 77)]).tolist()

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import exact_avg, half_up
 
-BINS = 65536
+LEVEL_BINS = 4096  # bins a counting pass of the quantile descent cuts a segment into
 
 
 def _as_integer(df: DataFrame, column: str) -> tuple[Column, float]:
@@ -22,49 +23,68 @@ def _as_integer(df: DataFrame, column: str) -> tuple[Column, float]:
     return F.col(column).cast("bigint"), 1.0
 
 
-def _running(partition: list[str], order: str) -> Column:
-    w = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    return F.coalesce(F.sum("n").over(w), F.lit(0))
-
-
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """column, q0, q1, ...: exact quantiles with linear interpolation, for any number of rows.
-
-    Two counting passes for all columns together: first equal-width bins over each value range, then the
-    single values of the few bins that hold a wanted rank. No pass sorts the rows or keeps them in one
-    task; per column at most 65,536 bin counts, and the distinct values of those few bins, are put in order.
+    """column, q0, q1, ...: exact quantiles with linear interpolation, for any number of rows and any spread.
+
+    Radix descent by counting: a pass counts the values of every open segment in LEVEL_BINS equal-width
+    bins; the bins that hold a wanted rank become the next pass's segments, until a bin is one value
+    wide and so names the value. A 64-bit range takes at most six passes, whatever the outliers; every
+    pass is an aggregation (combined map-side), so no task sorts or holds the rows of a crowded bin, and
+    the driver sees at most LEVEL_BINS counts per open segment (two segments per probability and column
+    at most). A column without values gets no row.
     """
+    spark = df.sparkSession
     entries = [(c, *_as_integer(df, c)) for c in columns]
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), value.alias("v"), F.lit(factor).alias("factor")) for c, value, factor in entries
     ]))).where(F.col("v").isNotNull())
-    last = (F.col("total") - 1).cast("double")
-    low_rank = lambda p: F.floor(F.lit(p) * last)
-    high_rank = lambda p: F.ceil(F.lit(p) * last)
-    stats = long.groupBy("column", "factor").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("total"))
-    stats = stats.withColumn("width", F.floor((F.col("high") - F.col("low")) / F.lit(BINS)).cast("bigint") + 1)
-    ranges = stats.select("column", "low", "width")
-    # One row per requested column: a bound known from the call.
-    binned = long.select("column", "v").join(F.broadcast(ranges), "column").withColumn(
-        "b", F.call_function("div", F.col("v") - F.col("low"), F.col("width")))
-    bins = binned.groupBy("column", "b").agg(F.count("*").alias("n")).withColumn("before", _running(["column"], "b"))
-    wanted = stats.select("column", F.array_distinct(F.array(*[r(p) for p in probs for r in (low_rank, high_rank)])).alias("wanted"))
-    hit = lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n"))
-    targets = bins.join(F.broadcast(wanted), "column").select("column", "b", "before", F.filter("wanted", hit).alias("ranks"))
-    targets = targets.where(F.size("ranks") > 0)
-    # At most two bins per probability and column.
-    inside = binned.join(F.broadcast(targets), ["column", "b"]).groupBy("column", "b", "before", "ranks", "v").agg(F.count("*").alias("n"))
-    inside = inside.withColumn("before", F.col("before") + _running(["column", "b"], "v"))
-    found = inside.select("column", F.explode(F.filter("ranks", hit)).alias("rank"), "v")
-    table = found.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at"))
-    table = table.join(F.broadcast(stats.select("column", "factor", "total")), "column")
-
-    def quantile(p: float) -> Column:
-        a = F.element_at("at", low_rank(p)).cast("double") / F.col("factor")
-        b = F.element_at("at", high_rank(p)).cast("double") / F.col("factor")
-        return a + (b - a) * (F.lit(p) * last - low_rank(p).cast("double"))
-
-    return table.select("column", *[quantile(p).alias(f"q{i}") for i, p in enumerate(probs)])
+    stats = long.groupBy("column", "factor").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("total")).collect()
+
+    found: dict[tuple[str, int], int] = {}
+    # Open segments: (column, low, high inclusive, rows before it, wanted ranks inside).
+    todo = []
+    for s in stats:
+        last = float(s["total"] - 1)
+        ranks = sorted({r(p * last) for p in probs for r in (math.floor, math.ceil)})
+        todo.append((s["column"], int(s["low"]), int(s["high"]), 0, ranks))
+    while todo:
+        widths = [(high - low) // LEVEL_BINS + 1 for _, low, high, _, _ in todo]
+        segments = spark.createDataFrame(
+            [(i, c, Decimal(low), Decimal(high), Decimal(w)) for i, ((c, low, high, _, _), w) in enumerate(zip(todo, widths))],
+            "seg int, column string, low decimal(20,0), high decimal(20,0), width decimal(20,0)",
+        )
+        v = F.col("v").cast("decimal(20,0)")
+        # At most two segments per probability and column: a broadcast of bounded size.
+        inside = long.join(F.broadcast(segments), "column").where((v >= F.col("low")) & (v <= F.col("high")))
+        counts = inside.groupBy("seg", F.floor((v - F.col("low")) / F.col("width")).cast("long").alias("b")).agg(F.count("*").alias("n")).collect()
+        by_segment: dict[int, list[tuple[int, int]]] = {}
+        for r in counts:
+            by_segment.setdefault(r["seg"], []).append((r["b"], r["n"]))
+        following = []
+        for i, (c, low, high, before, ranks) in enumerate(todo):
+            width, start, pending = widths[i], before, list(ranks)
+            for b, n in sorted(by_segment.get(i, [])):
+                here = [r for r in pending if start <= r < start + n]
+                if here:
+                    lo = low + b * width
+                    if width == 1:
+                        found.update({(c, r): lo for r in here})
+                    else:
+                        following.append((c, lo, min(lo + width - 1, high), start, here))
+                    pending = [r for r in pending if r not in here]
+                start += n
+        todo = following
+
+    rows = []
+    for s in stats:
+        last = float(s["total"] - 1)
+        values = []
+        for p in probs:
+            a = float(found[(s["column"], math.floor(p * last))]) / s["factor"]
+            b = float(found[(s["column"], math.ceil(p * last))]) / s["factor"]
+            values.append(a + (b - a) * (p * last - float(math.floor(p * last))))
+        rows.append((s["column"], *values))
+    return spark.createDataFrame(rows, ", ".join(["column string", *[f"q{i} double" for i in range(len(probs))]]))
 
 
 def describe(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
