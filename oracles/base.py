@@ -81,20 +81,27 @@ def month9(m: str) -> str:
     return MONTH9.format(m=m)
 
 
+LINE_COLUMNS = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
+# A line item's record id: its place in the whole table ordered by all its columns, nulls first.
+NUMBERED_LINES = (
+    "(SELECT *, row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in LINE_COLUMNS) + ") - 1 AS record_id FROM lineitem)"
+)
+
+
 def _category(name: str, parity: int, key: str, share: str, names: list, price: list, cost: list) -> str:
     which = f"({key} % 5)"
     money = pick(which, [f"CAST({p} AS DECIMAL(8,2))" for p in price], quote=False)
     part = pick(which, [f"CAST({c} AS DECIMAL(3,2))" for c in cost], quote=False)
     return f"""
-SELECT c.game_id, c.category, c.units_sold, c.avg_unit_price, c.gross_revenue, c.estimated_cost,
+SELECT c.record_id AS {"concession_id" if name == "concessions" else "merchandise_id"}, c.game_id, c.category, c.units_sold, c.avg_unit_price, c.gross_revenue, c.estimated_cost,
   CAST(c.gross_revenue - c.estimated_cost AS DECIMAL(12,2)) AS gross_margin,
   CAST(((2 * CAST(c.gross_revenue * 100 AS BIGINT) + a.actual_attendance) // (2 * NULLIF(a.actual_attendance, 0))) * 0.01 AS DECIMAL(8,2)) AS per_cap_spend,
   CAST(c.units_sold * (100 + CASE a.attendance_tier WHEN 'Sellout' THEN 20 WHEN 'High' THEN 15 WHEN 'Medium' THEN 10 ELSE 5 END) // 100 AS INTEGER) AS recommended_inventory_units
 FROM (SELECT *, CAST(round(gross_revenue * cost_part, 2) AS DECIMAL(12,2)) AS estimated_cost FROM (
-  SELECT l_orderkey AS game_id, {pick(which, names)} AS category, CAST(l_quantity AS INTEGER) AS units_sold,
+  SELECT record_id, l_orderkey AS game_id, {pick(which, names)} AS category, CAST(l_quantity AS INTEGER) AS units_sold,
     {money} AS avg_unit_price, {part} AS cost_part,
     CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * {share}, 2) AS DECIMAL(12,2)) AS gross_revenue
-  FROM lineitem WHERE l_linenumber % 2 = {parity})) c
+  FROM {NUMBERED_LINES} WHERE l_linenumber % 2 = {parity})) c
 JOIN attendance a ON a.game_id = c.game_id"""
 
 
@@ -160,14 +167,14 @@ FROM (SELECT game_id, cap, base, least(greatest(base + CAST(total * 100 AS BIGIN
 SELECT segment_id, segment_name, CAST(p AS DECIMAL(8,2)) AS avg_base_price, price_tier
 FROM (VALUES {SEGMENTS}) s(segment_id, segment_name, p, price_tier)""",
     "ticket_sales": """
-SELECT l_orderkey AS game_id, s.segment_id, s.segment_name, 50 AS tickets_available,
+SELECT record_id AS ticket_sale_id, l_orderkey AS game_id, s.segment_id, s.segment_name, 50 AS tickets_available,
   CAST(l_quantity AS INTEGER) AS tickets_sold,
   CAST(((2 * CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) + CAST(l_quantity AS BIGINT)) // NULLIF(2 * CAST(l_quantity AS BIGINT), 0)) * 0.01 AS DECIMAL(8,2)) AS avg_ticket_price,
   CAST(CAST(l_discount AS DECIMAL(5,2)) * 400 AS DECIMAL(5,2)) AS discount_pct,
   CAST(l_extendedprice AS DECIMAL(12,2)) AS gross_ticket_revenue,
   CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(5,2))), 2) AS DECIMAL(12,2)) AS net_ticket_revenue,
   CAST(2 * CAST(l_quantity AS INTEGER) AS DECIMAL(6,2)) AS sell_through_rate
-FROM lineitem LEFT JOIN ticket_segments s ON s.segment_id =
+FROM """ + NUMBERED_LINES + """ LEFT JOIN ticket_segments s ON s.segment_id =
   CASE l_returnflag || l_linestatus WHEN 'AF' THEN 1 WHEN 'AO' THEN 2 WHEN 'NF' THEN 3 WHEN 'NO' THEN 4 WHEN 'RF' THEN 8 WHEN 'RO' THEN 9 END""",
     "concessions": _category("concessions", 1, "l_suppkey", "0.30", CON_NAMES, CON_PRICE, CON_COST),
     "merchandise": _category("merchandise", 0, "l_partkey", "0.20", MER_NAMES, MER_PRICE, MER_COST),

@@ -157,10 +157,10 @@ SQL: dict[str, str] = {
     "c_clean_attendance": f"""SELECT game_id, {ints('arena_capacity', 'expected_attendance_baseline', 'attendance_variance')}, attendance_tier,
  {big('greatest(actual_attendance, 0)')} AS actual_attendance,
  {even('greatest(actual_attendance, 0) / CAST(arena_capacity AS DOUBLE) * 100e0', 2)} AS capacity_pct FROM attendance""",
-    "c_clean_ticket_sales": f"""SELECT game_id, {ints('segment_id', 'tickets_available')}, segment_name, {big('least(tickets_sold, tickets_available)')} AS tickets_sold,
+    "c_clean_ticket_sales": f"""SELECT ticket_sale_id, game_id, {ints('segment_id', 'tickets_available')}, segment_name, {big('least(tickets_sold, tickets_available)')} AS tickets_sold,
  {dbls('avg_ticket_price', 'sell_through_rate')}, {bound('discount_pct', '0', '100')}, {bound('gross_ticket_revenue', '0')}, {bound('net_ticket_revenue', '0')} FROM ticket_sales""",
-    "c_clean_concessions": CATEGORY + "concessions",
-    "c_clean_merchandise": CATEGORY + "merchandise",
+    "c_clean_concessions": CATEGORY.replace("SELECT ", "SELECT concession_id, ", 1) + "concessions",
+    "c_clean_merchandise": CATEGORY.replace("SELECT ", "SELECT merchandise_id, ", 1) + "merchandise",
     "c_clean_fan_profiles": f"""SELECT fan_id, age_group, household_type, distance_from_arena_bucket, preferred_ticket_segment, loyalty_status,
  {ints('games_attended_last_12_months')}, {bound('avg_ticket_spend', '0')}, {bound('avg_concession_spend', '0')}, {bound('avg_merchandise_spend', '0')},
  {bound('promotion_usage_rate', '0', '1')}, {bound('email_engagement_score', '0', '1')}, {bound('fan_value_score', '0', '1')} FROM fan_profiles""",

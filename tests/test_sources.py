@@ -1,5 +1,7 @@
 """Catalog, sinks, views, ad-hoc SQL and the stored workspace."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,27 @@ def test_changed_folder_is_read_anew(spark, tmp_path):
     after = workspace(spark, str(tmp_path))["ticket_sales"].count()
     assert 0 < after < before
     assert after == spark.read.parquet(str(tmp_path / "lineitem.parquet")).count()
+
+
+def test_record_ids_do_not_depend_on_the_file_split(spark):
+    """Record ids come from the source key: the same at 1, 3 and 8 input partitions, unique, none missing."""
+    from venue_analytics.sources.adapter import SalesAdapter
+
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    source = "/root/testdata/sf0.001"
+    size = os.path.getsize(f"{source}/lineitem.parquet")
+    seen = []
+    try:
+        for parts in (1, 3, 8):
+            spark.conf.set(key, str(max(size // parts, 4096)))
+            adapter = SalesAdapter(spark, source)
+            ids = {
+                name: sorted(r[0] for r in getattr(adapter, name)().select(SCHEMAS[name].fields[0].name).collect())
+                for name in ("ticket_sales", "concessions", "merchandise")
+            }
+            seen.append(ids)
+    finally:
+        spark.conf.set(key, before)
+    assert seen[0] == seen[1] == seen[2]
+    assert all(len(v) == len(set(v)) > 0 for v in seen[0].values())

@@ -21,9 +21,7 @@ def row_counts(t) -> DataFrame:
 
 
 def _cleaned(name: str, t) -> DataFrame:
-    surrogate = {"ticket_sales": "ticket_sale_id", "concessions": "concession_id", "merchandise": "merchandise_id"}
-    df = quality.clean(name, t[name])
-    return df.drop(surrogate[name]) if name in surrogate else df
+    return quality.clean(name, t[name])
 
 
 def features_full(t) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.numeric import clip, int_div, unit_amount
+from ..operators.positions import positions
 from .schemas import SCHEMAS
 
 
@@ -48,6 +49,7 @@ class SalesAdapter:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._numbered: DataFrame | None = None
 
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -189,7 +191,7 @@ class SalesAdapter:
         segment_of = {"AF": 1, "AO": 2, "NF": 3, "NO": 4, "RF": 8, "RO": 9}
         names = {key: rules.TICKET_SEGMENTS[i - 1][1] for key, i in segment_of.items()}
         out = self._lines().select(
-            F.monotonically_increasing_id().alias("ticket_sale_id"), _big("l_orderkey").alias("game_id"),
+            F.col("_record_id").alias("ticket_sale_id"), _big("l_orderkey").alias("game_id"),
             rules.lookup(seat, segment_of, None).alias("segment_id"),
             rules.lookup(seat, names, None).alias("segment_name"),
             F.lit(50).alias("tickets_available"), qty.alias("tickets_sold"),
@@ -202,10 +204,18 @@ class SalesAdapter:
         return conform(out, "ticket_sales")
 
     def _lines(self) -> DataFrame:
-        """Line items, spread over all cores where the files split into fewer partitions than there are."""
-        lines = self.source("lineitem")
-        cores = self.spark.sparkContext.defaultParallelism
-        return lines.repartition(cores) if lines.rdd.getNumPartitions() < cores else lines
+        """Line items with ``_record_id``: the row's place in the whole table ordered by all its columns, nulls first.
+
+        The source key (order, line number) repeats in the data, so the id is the row's place in that total
+        order: it depends on the rows alone, not on how the files split or on retries, and rows equal in
+        every column are interchangeable. ``positions`` spreads the order over range partitions (no task
+        holds a crowded key) and checkpoints the numbered table once for this adapter.
+        """
+        if self._numbered is None:
+            lines = self.source("lineitem")
+            order = [F.asc_nulls_first(c) for c in lines.columns]
+            self._numbered = positions(lines.withColumn("_table", F.lit(0)), "_table", order, "_record_id").drop("_table")
+        return self._numbered
 
     def _category_sales(self, name: str, odd: int, key: str, share: str, kinds: list, attendance: DataFrame) -> DataFrame:
         """Concession or merchandise records: one per line item of the given parity."""
@@ -214,13 +224,13 @@ class SalesAdapter:
         cost_share = F.element_at(F.array(*[_dec(c) for _, _, c in kinds]), (which + 1).cast("int"))
         price = F.element_at(F.array(*[F.lit(p).cast("decimal(8,2)") for _, p, _ in kinds]), (which + 1).cast("int"))
         lines = self._lines().where(F.col("l_linenumber") % 2 == odd).select(
-            _big("l_orderkey").alias("game_id"), rules.pick(which, [n for n, _, _ in kinds]).alias("category"),
+            "_record_id", _big("l_orderkey").alias("game_id"), rules.pick(which, [n for n, _, _ in kinds]).alias("category"),
             F.col("l_quantity").cast("int").alias("units_sold"), price.alias("avg_unit_price"),
             _money(gross).alias("gross_revenue"), _money(F.round(_money(gross) * cost_share, 2)).alias("estimated_cost"),
         )
         venue = attendance.select("game_id", "actual_attendance", "attendance_tier")
         out = lines.join(venue, "game_id").select(
-            F.monotonically_increasing_id().alias(SCHEMAS[name].fields[0].name), "*",
+            F.col("_record_id").alias(SCHEMAS[name].fields[0].name), *[c for c in lines.columns if c != "_record_id"], "actual_attendance", "attendance_tier",
             (F.col("gross_revenue") - F.col("estimated_cost")).alias("gross_margin"),
             unit_amount((F.col("gross_revenue") * 100).cast("bigint"), _big("actual_attendance")).alias("per_cap_spend"),
             rules.inventory_units("units_sold", "attendance_tier").alias("recommended_inventory_units"),

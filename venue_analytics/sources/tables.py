@@ -19,7 +19,7 @@ from .adapter import SalesAdapter
 from .schemas import SCHEMAS
 
 
-LAYOUT = 2  # raised when the stored tables' columns or rules change
+LAYOUT = 3  # raised when the stored tables' columns or rules change
 
 
 class Tables(Mapping):
