@@ -574,3 +574,10 @@ def test_dedup_of_a_memory_frame_with_a_constant_digest_checks_bytes(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("file", F.lit("clash")).withColumn("at", F.lit(0))
     got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.deduplicate(df, digest=lambda c: F.lit("same")).collect()}
     assert got == {1: (1, 2), 2: (1, 2), 3: (3, 1), 4: (4, 1), 5: (5, 1)}
+
+
+def test_drop_near_copies_keeps_columns_named_like_locators(spark):
+    rows = [(1, "a b c d e f g", "x", 1), (2, "a b c d e f g", "y", 2), (3, "other words here", "z", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, file string, at long")
+    got = sorted(tuple(r) for r in shingle_join.drop_near_copies(df).collect())
+    assert got == [(1, "a b c d e f g", "x", 1), (3, "other words here", "z", 3)]

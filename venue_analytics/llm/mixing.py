@@ -123,6 +123,11 @@ def fit(cells: DataFrame, languages: list[str], topics: list[str], source_power:
     return Mix(done.select("__source", "__factor"), first[0], dict(zip(languages, by_l.tolist())), dict(zip(topics, by_t.tolist())), scale, rounds, float(error))
 
 
+def draw(key: str, text: str) -> Column:
+    """A row's uniform draw in [0, 1): a hash of its key and text, so equal rows draw alike and reruns agree."""
+    return F.pmod(F.xxhash64(key, text), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
 def mix(docs: DataFrame, keep: float = KEEP, source_power: float = 0.5, language_targets: dict[str, float] | float | None = None, topic_targets: dict[str, float] | float = 0.7, text: str = "text", source: str = "source", lang: str = "lang", key: str = "doc_id") -> DataFrame:
     """docs with topic, n_tokens, weight, probability and sampled.
 
@@ -153,7 +158,7 @@ def mix(docs: DataFrame, keep: float = KEEP, source_power: float = 0.5, language
         spread = fitted.sources.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = marked.withColumn("__salt", F.pmod(F.xxhash64(key, text), F.lit(salts)).cast("int")).join(spread, ["__source", "__salt"])
     wanted = F.lit(fitted.scale) * F.col("__factor") * pick(F.col("__lang"), fitted.languages) * pick(F.col("topic"), fitted.topics)
-    drawn = F.pmod(F.xxhash64(key, text), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = draw(key, text)
     return (
         joined.withColumn("__wanted", wanted).withColumn("probability", F.least(F.lit(1.0), F.col("__wanted")))
         .withColumn("weight", F.when(F.col("probability") > 0, F.col("__wanted") / F.col("probability")).otherwise(0.0))

@@ -409,15 +409,16 @@ def near_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one row of each component: the one of the least id (null last), then the first by file and row.
 
-    Rows without words are all kept. Columns stay as they are; file and at must not be among them.
+    Rows without words are all kept. Columns stay as they are, whatever their names: they travel in
+    one struct while the rows are located and joined, so none can clash with the locator's.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    base = located(docs, *columns)
-    labelled = _labelled(base.select(F.col(key).alias("row_id"), F.col(text).cast("binary").alias("text"), "file", "at"), words, percent).where("label IS NOT NULL")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    base = located(docs, row, F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("binary").alias("__text"))
+    labelled = _labelled(base.select(F.col("__key").alias("row_id"), F.col("__text").alias("text"), "file", "at"), words, percent).where("label IS NOT NULL")
     order = F.struct(F.col("row_id").isNull().alias("unnamed"), "row_id", "file", "at")
     kept = labelled.groupBy("label").agg(F.min(order).alias("kept"), F.count("*").alias("rows")).where("rows > 1")
     dropped = labelled.join(kept, "label").where("file <> kept.file OR at <> kept.at").select("file", "at")
-    return base.join(narrow(stored(dropped, "join-dropped")), ["file", "at"], "left_anti").select(*columns)
+    return base.join(narrow(stored(dropped, "join-dropped")), ["file", "at"], "left_anti").select("__row.*")
 
 
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
