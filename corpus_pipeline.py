@@ -14,11 +14,23 @@ SURE = 0.5  # posterior below which a document's language counts as unknown
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def _row(docs: DataFrame, *drop: str) -> F.Column:
+    """The documents' own columns in one struct: stages compute into names of their own beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in drop]).alias("__row")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; `und` (null, no letter) and unsure ones go."""
+    """Documents whose language is recognised, with it in ``lang``; `und` (null, no letter) and unsure ones go.
+
+    The model learns from the rows whose crc32(doc_id) mod 4 isn't 2. The decision takes effect twice:
+    rejected rows go, and a kept row's ``lang`` becomes the predicted language, which mixing then
+    targets. Every other column stays as it is, whatever its name (``score``, ``lang_pred`` ...).
+    Null or empty texts are `und` and go; an empty table gives an empty table.
+    """
     model = language.fit(docs, ~remainder_is("doc_id", 4, 2))
-    known = language.predict(docs, model).where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
-    return known.select(*docs.columns)
+    base = docs.select(_row(docs), F.col("text").alias("__text"))
+    known = language.predict(base, model, text="__text").where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
+    return known.select("__row.*", F.col("lang_pred").alias("__lang")).withColumn("lang", F.col("__lang")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +44,23 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn with the calibrated probabilities of the target mix."""
-    return mixing.mix(docs).where("sampled").select(*docs.columns)
+    """Documents drawn so that their expected tokens meet the target mix exactly.
+
+    Raking gives each row a wanted probability c * factor at keep rate ``mixing.KEEP``; where that
+    passes 1 somewhere, all are scaled down by the largest, so no probability is clipped and the
+    expected mix is the target's (fewer rows are kept instead). Rows are drawn by the operator's own
+    hash of doc_id and text: equal rows alike, reruns the same. The documents' columns stay as they
+    are, whatever their names (``topic``, ``weight``, ``sampled`` ...); an empty table stays empty.
+    """
+    base = docs.select(
+        _row(docs), F.col("doc_id").alias("__key"), F.col("text").alias("__text"),
+        F.col("source").alias("__source_name"), F.col("lang").alias("__lang_name"),
+    )
+    mixed = mixing.mix(base, text="__text", source="__source_name", lang="__lang_name", key="__key")
+    wanted = F.col("probability") * F.col("weight")
+    largest = mixed.agg(F.max(wanted)).head()[0] or 0.0
+    share = wanted / F.lit(max(float(largest), 1.0))
+    return mixed.where(mixing.draw("__key", "__text") < share).select("__row.*")
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
