@@ -409,6 +409,7 @@ def test_pipeline_stages_against_brute_force(spark):
         kept = {r.doc_id for r in docs.collect()}
         if name == "language_id":
             assert kept == {r.doc_id for r in before}
+            assert {r.lang for r in docs.collect()} <= set(language.fit(spark.read.parquet(f"{FOLDER}/documents.parquet"), F.lit(True))[0])
         elif name == "ngram_join":
             assert kept == {c for _, _, c in brute_components([(r.doc_id, r.text) for r in before], pipeline.NEAR_WORDS, pipeline.NEAR_PERCENT)}
         elif name == "decontamination":
@@ -581,3 +582,47 @@ def test_drop_near_copies_keeps_columns_named_like_locators(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, file string, at long")
     got = sorted(tuple(r) for r in shingle_join.drop_near_copies(df).collect())
     assert got == [(1, "a b c d e f g", "x", 1), (3, "other words here", "z", 3)]
+
+
+def test_pipeline_stages_keep_user_columns_and_edge_rows(spark):
+    """Clashing names pass through unchanged; nulls, empty and very long texts, repeated rows, empty tables."""
+    import corpus_pipeline as pipeline
+
+    real = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(300)
+    clash = (
+        real.withColumn("score", F.lit(7.0)).withColumn("weight", F.lit(3)).withColumn("topic", F.lit("mine"))
+        .withColumn("file", F.lit("f")).withColumn("at", F.lit(9)).withColumn("lang_pred", F.lit("zz")).withColumn("sampled", F.lit("no"))
+    )
+    odd = spark.createDataFrame(
+        [(10**9, None, "en", "s", 0), (10**9 + 1, "", None, None, 0), (10**9 + 2, "word " * 50000, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    first = real.limit(1)
+    docs = clash.unionByName(odd.withColumns({"score": F.lit(7.0), "weight": F.lit(3), "topic": F.lit("mine"), "file": F.lit("f"), "at": F.lit(9), "lang_pred": F.lit("zz"), "sampled": F.lit("no")}))
+    docs = docs.unionByName(first.withColumns({"score": F.lit(7.0), "weight": F.lit(3), "topic": F.lit("mine"), "file": F.lit("f"), "at": F.lit(9), "lang_pred": F.lit("zz"), "sampled": F.lit("no")}))
+    docs = common.stored(docs, "test-pipeline-odd")
+    for name, stage in pipeline.STAGES:
+        out = common.stored(stage(spark, docs, FOLDER), "test")
+        rows = out.collect()
+        mine = [c for c in docs.columns]
+        assert out.columns[: len(mine)] == mine
+        assert all(r.score == 7.0 and r.weight == 3 and r.topic == "mine" and r.file == "f" and r.at == 9 and r.lang_pred == "zz" and r.sampled == "no" for r in rows)
+        if name == "language_id":
+            assert 10**9 not in {r.doc_id for r in rows} and 10**9 + 1 not in {r.doc_id for r in rows}
+        empty = stage(spark, spark.createDataFrame([], docs.schema), FOLDER)
+        assert empty.count() == 0
+        docs = out if name != "sharding" else docs
+
+
+def test_mixing_stage_meets_the_targets_without_clipping(spark):
+    """Expected tokens of the drawn rows are proportional to the raked targets: no probability passes 1."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    base = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__key"), F.col("text").alias("__text"), F.col("source").alias("__source_name"), F.col("lang").alias("__lang_name"))
+    mixed = mixing.mix(base, text="__text", source="__source_name", lang="__lang_name", key="__key").toPandas()
+    wanted = mixed.probability * mixed.weight
+    share = wanted / max(wanted.max(), 1.0)
+    assert share.max() <= 1.0
+    kept = {r.doc_id for r in pipeline.mix_sources(spark, docs, FOLDER).collect()}
+    drawn = {r["__row"]["doc_id"] for _, r in mixed.iterrows() if r["__row"] is not None}
+    assert kept <= drawn and len(kept) > 0
