@@ -11,7 +11,9 @@ QUERIES = {n: q for n, q in entry.queries().items() if n != "pipeline" and not n
 # Tree ensembles with their full size take minutes; test_operators.py covers them with a few trees.
 SLOW = {f"{m}_{t}" for m, t in (
     ("m4", "attendance_forest"), ("m5", "attendance_boosting"), ("m10", "attendance_importances"),
-    ("m4", "revenue_forest"), ("m5", "revenue_boosting"), ("m10", "revenue_importances"))}
+    ("m4", "revenue_forest"), ("m5", "revenue_boosting"), ("m10", "revenue_importances"),
+    ("m9", "chosen_attendance"), ("m9", "chosen_revenue"), ("m10", "attendance_importances_chosen"), ("m10", "revenue_importances_chosen"),
+    ("m11", "attendance_predictions_chosen"), ("m11", "revenue_predictions_chosen"))}
 
 
 @pytest.fixture(scope="module")

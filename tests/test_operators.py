@@ -436,3 +436,37 @@ def test_sold_tickets_stay_null_where_unknown(spark):
     rows = [(i, s, a, 1.0, 1.0, 0.0) for i, (s, a) in enumerate([(None, 50), (60, 50), (40, 50), (40, None)])]
     frame = spark.createDataFrame(rows, "ticket_sale_id int, tickets_sold int, tickets_available int, gross_ticket_revenue double, net_ticket_revenue double, discount_pct double")
     assert {r.ticket_sale_id: r.tickets_sold for r in clean_ticket_sales(frame).collect()} == {0: None, 1: 50, 2: 40, 3: None}
+
+
+def test_chosen_model_drives_predictions_and_importances(spark, monkeypatch):
+    """m9 marks the candidate of the largest R2; m10 and m11 of the chosen model are that candidate's."""
+    from venue_analytics.plans import modelling
+    from venue_analytics.sources.tables import workspace
+
+    full = forecast.estimators
+
+    def small(task):
+        e = full(task)
+        return {"LinearRegression": e["LinearRegression"], "RandomForest": e["RandomForest"].copy().setNumTrees(4),
+                "GradientBoosting": e["GradientBoosting"].copy().setMaxIter(3)}
+
+    monkeypatch.setattr(forecast, "estimators", small)
+    t = workspace(spark, "/root/testdata/sf0.001")
+    t.__dict__.pop("_fitted", None)
+    try:
+        for task in (forecast.ATTENDANCE, forecast.REVENUE):
+            metrics = modelling.chosen_metrics(task, t).collect()
+            chosen = [r for r in metrics if r["chosen"]]
+            assert len(metrics) == 3 and len(chosen) == 1
+            assert chosen[0]["r2"] == max(r["r2"] for r in metrics)
+            name = chosen[0]["model"]
+            preds = modelling.QUERIES[f"m11_{task.name}_predictions_chosen"](t)
+            assert preds.count() == modelling.prepared(t, task)[2].count() > 0
+            assert sorted(preds.collect()) == sorted(modelling.model_predictions(task, name, t).collect())
+            importances = modelling.QUERIES[f"m10_{task.name}_importances_chosen"](t).collect()
+            if name == "LinearRegression":
+                assert importances == []
+            else:
+                assert 0 < sum(r["importance"] for r in importances) <= 1 + 1e-9
+    finally:
+        t.__dict__.pop("_fitted", None)

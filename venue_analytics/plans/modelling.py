@@ -54,6 +54,28 @@ def model_predictions(task: fc.Task, name: str, t) -> DataFrame:
     return fc.attendance_predictions(scored) if task is fc.ATTENDANCE else fc.revenue_predictions(scored)
 
 
+def chosen_name(t, task: fc.Task) -> str:
+    """The candidate of the largest R2 on the last season; ties (and a missing R2, counted lowest) go to
+    the earlier candidate in ``fc.estimators``' order. Metrics are one row a candidate."""
+    def choose() -> str:
+        rows = [model_metrics(task, name, t).first() for name in fc.estimators(task)]
+        score = lambda r: r["r2"] if r["r2"] is not None else float("-inf")
+        top = max(score(r) for r in rows)
+        return next(r["model"] for r in rows if score(r) == top)
+
+    return _once(t, f"chosen/{task.name}", choose)
+
+
+def chosen_metrics(task: fc.Task, t) -> DataFrame:
+    """Every candidate's metrics on the last season, and ``chosen``: the one whose predictions are used."""
+    best = chosen_name(t, task)
+    parts = [model_metrics(task, name, t) for name in fc.estimators(task)]
+    table = parts[0]
+    for part in parts[1:]:
+        table = table.unionByName(part)
+    return table.withColumn("chosen", F.col("model") == F.lit(best))
+
+
 def season_split(t) -> DataFrame:
     """Rows and season range of the two halves."""
     train, test = fc.split_by_season(t["games"])
@@ -116,4 +138,11 @@ QUERIES = {
     "m5_revenue_boosting": partial(model_metrics, fc.REVENUE, "GradientBoosting"),
     "m10_revenue_importances": partial(model_importances, fc.REVENUE, "GradientBoosting"),
     "m10_attendance_importances": partial(model_importances, fc.ATTENDANCE, "GradientBoosting"),
+    # The chosen model (largest R2 on the last season) and what follows from it.
+    "m9_chosen_attendance": partial(chosen_metrics, fc.ATTENDANCE),
+    "m9_chosen_revenue": partial(chosen_metrics, fc.REVENUE),
+    "m10_attendance_importances_chosen": lambda t: model_importances(fc.ATTENDANCE, chosen_name(t, fc.ATTENDANCE), t),
+    "m10_revenue_importances_chosen": lambda t: model_importances(fc.REVENUE, chosen_name(t, fc.REVENUE), t),
+    "m11_attendance_predictions_chosen": lambda t: model_predictions(fc.ATTENDANCE, chosen_name(t, fc.ATTENDANCE), t),
+    "m11_revenue_predictions_chosen": lambda t: model_predictions(fc.REVENUE, chosen_name(t, fc.REVENUE), t),
 }
