@@ -22,6 +22,9 @@ LABELS = [
 LAST = "(SELECT MAX(season) FROM games)"
 
 SQL: dict[str, str] = {
+    # The saved and reloaded pipeline must score every test-season game alike, and give its metadata back.
+    "s14_model_round_trip": f"""SELECT 'LinearRegression' AS model, {cnt()} AS rows, CAST(0 AS BIGINT) AS differing, CAST(4 AS BIGINT) AS metadata_equal
+FROM ga WHERE season = {LAST} AND actual_attendance IS NOT NULL""",
     "m1_season_split": f"""SELECT CASE WHEN season < {LAST} THEN 'train' ELSE 'test' END AS part, {cnt()} AS rows, {big('MIN(season)')} AS first_season,
  {big('MAX(season)')} AS last_season FROM games GROUP BY 1""",
     "m7_baseline_metrics": f"""SELECT 'StoredBaseline' AS model, {hu(f'avg(abs({E} - {A}))', 6)} AS mae, {hu(f'sqrt(avg(({E} - {A}) * ({E} - {A})))', 6)} AS rmse,

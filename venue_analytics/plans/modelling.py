@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -12,6 +13,7 @@ from ..functions.numeric import half_up
 from ..operators import forecast as fc
 from ..operators import segments as sg
 from ..operators.features import attendance_features, build_features, revenue_features
+from ..sources.tables import shared_root
 
 
 def _once(t, key: str, build: Callable):
@@ -76,6 +78,34 @@ def chosen_metrics(task: fc.Task, t) -> DataFrame:
     return table.withColumn("chosen", F.col("model") == F.lit(best))
 
 
+def model_round_trip(t, name: str = "LinearRegression") -> DataFrame:
+    """S14: a fitted attendance pipeline (preprocessing and regressor) and its metadata, written to the shared
+    folder, read back through another session and compared: one row of the model, the test rows scored,
+    how many predictions differ, and how many metadata entries read back equal."""
+    task = fc.ATTENDANCE
+    spark = t["games"].sparkSession
+    preprocessor, _, _ = prepared(t, task)
+    fitted = fc.PipelineModel(stages=[*preprocessor.stages, *candidate(t, task, name).stages])
+    path = f"{shared_root(spark)}/models/{task.name}-{uuid.uuid4().hex}"
+    entries = {"task": task.name, "model": name, "target": task.target, "features": ",".join(task.features)}
+    fc.save_model(fitted, f"{path}/model")
+    fc.save_metadata(spark, f"{path}/metadata", entries)
+    other = spark.newSession()
+    loaded = fc.load_model(f"{path}/model")
+    read = {r["key"]: r["value"] for r in fc.read_metadata(other, f"{path}/metadata").collect()}
+    _, test = fc.split_by_season(t.keep(f"features_{task.name}", lambda: attendance_features(build_features(t))))
+    test = test.withColumn("label", F.col(task.target).cast("double"))
+    a = fitted.transform(test).select("game_id", F.col("prediction").alias("a"))
+    b = loaded.transform(test).select("game_id", F.col("prediction").alias("b"))
+    compared = a.join(b, "game_id", "full")
+    return compared.agg(
+        F.lit(name).alias("model"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(~F.col("a").eqNullSafe(F.col("b")), 1)).alias("differing"),
+        F.lit(sum(read.get(k) == v for k, v in entries.items())).cast("long").alias("metadata_equal"),
+    )
+
+
 def season_split(t) -> DataFrame:
     """Rows and season range of the two halves."""
     train, test = fc.split_by_season(t["games"])
@@ -138,6 +168,7 @@ QUERIES = {
     "m5_revenue_boosting": partial(model_metrics, fc.REVENUE, "GradientBoosting"),
     "m10_revenue_importances": partial(model_importances, fc.REVENUE, "GradientBoosting"),
     "m10_attendance_importances": partial(model_importances, fc.ATTENDANCE, "GradientBoosting"),
+    "s14_model_round_trip": model_round_trip,
     # The chosen model (largest R2 on the last season) and what follows from it.
     "m9_chosen_attendance": partial(chosen_metrics, fc.ATTENDANCE),
     "m9_chosen_revenue": partial(chosen_metrics, fc.REVENUE),
