@@ -146,6 +146,8 @@ PAIRS = "(1, 2), (1, 3), (4, 5), (6, 4), (7, 8), (24, 1)"
 BUFFER = "CASE attendance_tier WHEN 'Sellout' THEN 120 WHEN 'High' THEN 115 WHEN 'Medium' THEN 110 ELSE 105 END"
 
 SQL: dict[str, str] = {
+    "s01_csv_round_trip": f"""SELECT {cnt()} AS rows, CAST(0 AS BIGINT) AS bad_rows, CAST(COUNT(*) FILTER (WHERE segment_name IS NULL) AS BIGINT) AS null_segment_names,
+ CAST(SUM(tickets_sold) AS BIGINT) AS tickets_sold, CAST(SUM(net_ticket_revenue) AS DOUBLE) AS net_ticket_revenue FROM ticket_sales""",
     "s03_row_counts": "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, {cnt()} AS rows FROM {n}" for n in TABLE_NAMES),
     "c18_validate_all": f"SELECT *, violations = 0 AS passed FROM ({ALL_RULES})",
     "c17_issue_summary": f"SELECT {cnt()} AS rules, {cnt('NULLIF(violations, 0)')} AS issues, bool_and(violations = 0) AS all_passed FROM ({ALL_RULES})",

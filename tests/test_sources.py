@@ -28,6 +28,13 @@ def test_csv_is_typed_and_keeps_the_word_none(spark, tmp_path):
     assert read_csv(spark, path, "promotions").dtypes[4] == ("promotion_cost", "decimal(10,2)")
 
 
+def test_csv_bad_cells_are_kept_not_nulled(spark, tmp_path):
+    path = write(tmp_path / "promotions.csv", PROMOTIONS + "1,7,False,None,0.0,0.0,,\n2,8,True,Theme,lots,1.5,x,2.0\n3,9,,,,,,\n")
+    rows = {r["promotion_id"]: r for r in read_csv(spark, path, "promotions", keep_corrupt=True).collect()}
+    assert rows[1]["_corrupt_record"] is None and rows[3]["_corrupt_record"] is None and rows[3]["promotion_cost"] is None
+    assert "lots" in rows[2]["_corrupt_record"] and rows[2]["promotion_cost"] is None
+
+
 def test_missing_csv_raises(spark, tmp_path):
     with pytest.raises(MissingTable):
         read_csv(spark, str(tmp_path / "nothing.csv"), "games")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,9 @@ from ..functions import rules
 from ..functions.numeric import half_up, int_div
 from ..operators import quality
 from ..operators.features import attendance_features, build_features, revenue_features, team_form
+from ..sources.catalog import CORRUPT, read_csv
 from ..sources.schemas import SCHEMAS
+from ..sources.tables import shared_root
 
 
 def row_counts(t) -> DataFrame:
@@ -137,7 +140,27 @@ def discounted_spend(t) -> DataFrame:
     )
 
 
+def csv_round_trip(t, name: str = "ticket_sales") -> DataFrame:
+    """S1, S2, S7: a domain table written as header CSV to the shared folder and read back typed.
+
+    One row: rows, lines whose cells don't parse (kept, not nulled), empty cells read as null (segment
+    names), and the exact sums of tickets sold and net revenue, to be equal to the source's.
+    """
+    spark = t["games"].sparkSession
+    path = f"{shared_root(spark)}/csv/{name}-{uuid.uuid4().hex}"
+    t[name].write.option("header", True).csv(path)
+    back = read_csv(spark, path, name, keep_corrupt=True)
+    return back.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(CORRUPT).alias("bad_rows"),
+        F.count(F.when(F.col("segment_name").isNull(), 1)).alias("null_segment_names"),
+        F.sum("tickets_sold").cast("bigint").alias("tickets_sold"),
+        F.sum("net_ticket_revenue").cast("double").alias("net_ticket_revenue"),
+    )
+
+
 QUERIES = {
+    "s01_csv_round_trip": csv_round_trip,
     "s03_row_counts": row_counts,
     "c18_validate_all": quality.validate_all,
     "c17_issue_summary": lambda t: quality.issue_summary(quality.validate_all(t)),

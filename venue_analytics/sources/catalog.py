@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .schemas import SCHEMAS
 from .tables import Tables
@@ -27,16 +28,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_csv(spark: SparkSession, path: str, name: str, keep_corrupt: bool = False) -> DataFrame:
     """Header CSV of a domain table with its declared schema.
 
     An empty cell is null; any other text, the promotion type "None" included, stays text. A file that
-    does not exist raises.
+    does not exist raises. With ``keep_corrupt`` a line whose cell doesn't parse as its declared type
+    keeps its raw text in ``_corrupt_record`` (its fields null), so bad cells are counted, not silently
+    nulled.
     """
     if not path_exists(spark, path):
         raise MissingTable(f"no such file: {path}")
+    schema = SCHEMAS[name]
+    reader = spark.read.option("header", True).option("nullValue", "").option("enforceSchema", False)
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     # enforceSchema off: header names are checked against the schema instead of being trusted by position.
-    return spark.read.schema(SCHEMAS[name]).option("header", True).option("nullValue", "").option("enforceSchema", False).csv(path)
+    return reader.schema(schema).csv(path)
 
 
 class Catalog:
