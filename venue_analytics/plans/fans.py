@@ -86,17 +86,27 @@ def by_household(t) -> DataFrame:
 
 
 def rivalry_spend(t) -> DataFrame:
-    """Transactions, fans and mean spend for rivalry and regular games."""
+    """Transactions, fans and mean spend for rivalry and regular games.
+
+    Each distinct count is a roll-up of its own keyed by (label, id), partial aggregation first, then
+    counted per label; the three one-row-a-label results join on the label. No row is expanded per
+    distinct column, and a null id counts as no distinct value.
+    """
     games = t["games"].select("game_id", "rivalry_flag")
     label = F.when(F.col("rivalry_flag"), "Rivalry Game").otherwise("Regular Game").alias("game_type")
-    return t["fan_transactions"].join(games, "game_id").groupBy(label).agg(
-        F.count_distinct("transaction_id").alias("transactions"),
-        F.count_distinct("fan_id").alias("unique_fans"),
+    labelled = t["fan_transactions"].join(games, "game_id").select(label, "*")
+    distinct = lambda c, name: labelled.select("game_type", c).distinct().groupBy("game_type").agg(F.count(c).alias(name))
+    means = labelled.groupBy("game_type").agg(
         avg_r("total_spend", 2).alias("avg_total_spend_per_txn"),
         avg_r("ticket_spend", 2).alias("avg_ticket_spend"),
         avg_r("concession_spend", 2).alias("avg_concession_spend"),
         avg_r("merchandise_spend", 2).alias("avg_merch_spend"),
-    ).orderBy(F.desc("avg_total_spend_per_txn"))
+    )
+    return (
+        distinct("transaction_id", "transactions").join(distinct("fan_id", "unique_fans"), "game_type").join(means, "game_type")
+        .select("game_type", "transactions", "unique_fans", "avg_total_spend_per_txn", "avg_ticket_spend", "avg_concession_spend", "avg_merch_spend")
+        .orderBy(F.desc("avg_total_spend_per_txn"))
+    )
 
 
 QUERIES = {
