@@ -252,7 +252,8 @@ def statement(body: str) -> str:
     for name in _needs(body):
         visit(name)
     ctes = [f"{name} AS ({CTES[name].strip()})" for name in order]
-    if body[:5].upper() == "WITH ":
-        ctes.append(body[5:])
-        return "WITH " + ",\n".join(ctes)
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body[: len(head)].upper() == head:
+            ctes.append(body[len(head):])
+            return head + ",\n".join(ctes)
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body

@@ -21,7 +21,8 @@ LABELS = [
 ]
 LAST = "(SELECT MAX(season) FROM games)"
 
-SQL: dict[str, str] = {
+SQL: dict[str, str] = {}
+SQL_LATER = {
     # The saved and reloaded pipeline must score every test-season game alike, and give its metadata back.
     "s14_model_round_trip": f"""SELECT 'LinearRegression' AS model, {cnt()} AS rows, CAST(0 AS BIGINT) AS differing, CAST(4 AS BIGINT) AS metadata_equal
 FROM ga WHERE season = {LAST} AND actual_attendance IS NOT NULL""",
@@ -36,3 +37,24 @@ FROM ga WHERE season = {LAST}""",
  norm AS (SELECT cluster, {', '.join(f'({c} - MIN({c}) OVER ()) / (MAX({c}) OVER () - MIN({c}) OVER () + 1e-8) AS {c}' for c in F9)} FROM prof)
 """ + "\nUNION ALL ".join(f"SELECT cluster, {big(str(i))} AS label_no, '{n}' AS label, {f} AS score FROM norm" for i, (n, f) in enumerate(LABELS)),
 }
+SQL.update(SQL_LATER)
+# M18: greedy one-to-one choice over the m17 scores, one pick a step, as a recursive statement; clusters
+# left without a pick take the unused labels in their order.
+_LABEL_ORDER = ", ".join(f"({i}, '{n}')" for i, (n, _) in enumerate(LABELS))
+SQL["m18_band_labels"] = f"""WITH RECURSIVE s AS ({SQL["m17_profile_scores"].replace("WITH prof AS", "WITH prof0 AS", 0)}),
+ n AS (SELECT COUNT(DISTINCT cluster) AS k FROM s),
+ usable AS (SELECT s.* FROM s, n WHERE s.label_no < LEAST(n.k, {len(LABELS)}) AND s.score > -1e0),
+ pick(step, cluster, label_no, used_c, used_l) AS (
+   SELECT 0, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[])
+   UNION ALL
+   SELECT * FROM (
+     SELECT p.step + 1, u.cluster, u.label_no, list_append(p.used_c, u.cluster), list_append(p.used_l, u.label_no)
+     FROM pick p JOIN usable u ON NOT list_contains(p.used_c, u.cluster) AND NOT list_contains(p.used_l, u.label_no)
+     ORDER BY u.score DESC, u.cluster, u.label_no LIMIT 1)),
+ chosen AS (SELECT cluster, label_no FROM pick WHERE step > 0),
+ names(label_no, label) AS (VALUES {_LABEL_ORDER}),
+ spare AS (SELECT label, row_number() OVER (ORDER BY label_no) AS r FROM names WHERE label_no NOT IN (SELECT label_no FROM chosen)),
+ left_over AS (SELECT cluster, row_number() OVER (ORDER BY cluster) AS r FROM (SELECT DISTINCT cluster FROM s) WHERE cluster NOT IN (SELECT cluster FROM chosen))
+SELECT CAST(c.cluster AS BIGINT) AS cluster, x.label AS fan_segment FROM chosen c JOIN names x USING (label_no)
+UNION ALL
+SELECT CAST(l.cluster AS BIGINT), coalesce(p.label, 'Segment ' || l.cluster) FROM left_over l LEFT JOIN spare p USING (r)"""

@@ -136,6 +136,16 @@ def profile_scores(t) -> DataFrame:
     return sg.label_scores(sg.normalise_profiles(sg.cluster_profiles(_distance_clusters(t))))
 
 
+def band_labels(t) -> DataFrame:
+    """M18 over the distance bands' scores: cluster, label by repeated best remaining (cluster, label) pair.
+
+    The score table has clusters x six rows, so it is collected; the greedy choice is ``assign_labels``.
+    """
+    scores = profile_scores(t).collect()
+    labels = sg.assign_labels([(r["cluster"], r["label_no"], r["score"]) for r in scores])
+    return t["games"].sparkSession.createDataFrame(sorted(labels.items()), "cluster bigint, fan_segment string")
+
+
 def scaled_fans(t) -> DataFrame:
     """Standardised segmentation features, to six decimals."""
     df = sg.scale_features(sg.encode_features(t["fan_profiles"]))
@@ -160,6 +170,7 @@ QUERIES = {
     "m14_silhouettes_behavioural": lambda t: sg.silhouettes(t["fan_profiles"], sg.BEHAVIOURAL_FEATURES),
     "m15_segmented_fans": segmented_fans,
     "m17_profile_scores": profile_scores,
+    "m18_band_labels": band_labels,
     "m19_segment_counts": lambda t: sg.segment_counts(segmented_fans(t)),
     "m19_segment_profile": lambda t: sg.segment_profile(segmented_fans(t)),
     "m4_attendance_forest": partial(model_metrics, fc.ATTENDANCE, "RandomForest"),
