@@ -103,11 +103,12 @@ def release() -> None:
         pass
 
 
-def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], inputs: list[Column], outputs: T.StructType) -> DataFrame:
+def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[list[pa.Array]]], inputs: list[Column | str], outputs: T.StructType) -> DataFrame:
     """df with the columns that ``work`` computes, batch by batch, from the input expressions.
 
     ``work`` gets the batches of the inputs and yields one list of arrays per batch, in the outputs'
-    order and of the batch's length. An existing column of an output's name is replaced.
+    order and of the batch's length. An existing column of an output's name is replaced. An input given
+    by the name of a column that stays is read from that column, so a long text crosses to Python once.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -116,7 +117,16 @@ def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[li
     new = {f.name.lower() for f in outputs.fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
     n = len(kept)
-    picked = df.select(*[F.col(f"`{f.name}`") for f in kept], *[c.alias(f"__in{i}") for i, c in enumerate(inputs)])
+    at = {f.name: i for i, f in enumerate(kept)}
+    extra: list[Column] = []
+    chosen: list[int] = []
+    for c in inputs:
+        if isinstance(c, str) and c in at:
+            chosen.append(at[c])
+        else:
+            chosen.append(n + len(extra))
+            extra.append(F.col(f"`{c}`") if isinstance(c, str) else c)
+    picked = df.select(*[F.col(f"`{f.name}`") for f in kept], *[c.alias(f"__in{i}") for i, c in enumerate(extra)])
     schema = T.StructType(kept + list(outputs.fields))
     arrow_outputs = to_arrow_schema(outputs)
 
@@ -126,7 +136,7 @@ def append(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[li
         def feed() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 waiting.append(batch)
-                yield batch.select(range(n, batch.num_columns))
+                yield batch.select(chosen)
 
         for arrays in work(feed()):
             batch = waiting.pop(0)

@@ -111,7 +111,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], te
                     scores.append(float(1 / np.exp(row - row[best]).sum()) if k else 0.0)
             yield [pa.array(labels, pa.string()), pa.array(scores, pa.float64())]
 
-    return append(docs, work, [F.col(text)], T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return append(docs, work, [text], T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
