@@ -28,9 +28,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Null or empty texts are `und` and go; an empty table gives an empty table.
     """
     model = language.fit(docs, ~remainder_is("doc_id", 4, 2))
-    base = docs.select(_row(docs), F.col("text").alias("__text"))
+    base = docs.select(_row(docs, "text"), F.col("text").alias("__text"))  # each text crosses to Python once
     known = language.predict(base, model, text="__text").where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= SURE))
-    return known.select("__row.*", F.col("lang_pred").alias("__lang")).withColumn("lang", F.col("__lang")).select(*docs.columns)
+    out = known.select("__row.*", F.col("__text").alias("text"), F.col("lang_pred").alias("__lang"))
+    return out.withColumn("lang", F.col("__lang")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,14 +54,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are, whatever their names (``topic``, ``weight``, ``sampled`` ...); an empty table stays empty.
     """
     base = docs.select(
-        _row(docs), F.col("doc_id").alias("__key"), F.col("text").alias("__text"),
+        _row(docs, "text"), F.col("doc_id").alias("__key"), F.col("text").alias("__text"),
         F.col("source").alias("__source_name"), F.col("lang").alias("__lang_name"),
     )
     mixed = mixing.mix(base, text="__text", source="__source_name", lang="__lang_name", key="__key")
     wanted = F.col("probability") * F.col("weight")
     largest = mixed.agg(F.max(wanted)).head()[0] or 0.0
     share = wanted / F.lit(max(float(largest), 1.0))
-    return mixed.where(mixing.draw("__key", "__text") < share).select("__row.*")
+    drawn = mixed.where(mixing.draw("__key", "__text") < share)
+    return drawn.select("__row.*", F.col("__text").alias("text")).select(*docs.columns)
 
 
 def place_in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
