@@ -58,3 +58,10 @@ SQL["m18_band_labels"] = f"""WITH RECURSIVE s AS ({SQL["m17_profile_scores"].rep
 SELECT CAST(c.cluster AS BIGINT) AS cluster, x.label AS fan_segment FROM chosen c JOIN names x USING (label_no)
 UNION ALL
 SELECT CAST(l.cluster AS BIGINT), coalesce(p.label, 'Segment ' || l.cluster) FROM left_over l LEFT JOIN spare p USING (r)"""
+
+# The segment dashboards over the fixed band clustering: the loyalty status's place taken by the band label.
+from . import insights as _insights  # noqa: E402
+
+BANDED = f"(SELECT f.*, b.fan_segment FROM ({ENC}) f JOIN ({SQL['m18_band_labels']}) b ON b.cluster = CAST(f.distance_encoded AS BIGINT) - 1) fp"
+for _name in ("d18_segment_kpis", "d19_segment_summary", "d19_segment_spend_long", "n5_normalised_profile"):
+    SQL[f"{_name}_segmented"] = _insights.SQL[_name].replace("loyalty_status", "fan_segment").replace("FROM fan_profiles", f"FROM {BANDED}")

@@ -14,6 +14,7 @@ from ..operators import forecast as fc
 from ..operators import segments as sg
 from ..operators.features import attendance_features, build_features, revenue_features
 from ..sources.tables import shared_root
+from . import insights
 
 
 def _once(t, key: str, build: Callable):
@@ -146,6 +147,17 @@ def band_labels(t) -> DataFrame:
     return t["games"].sparkSession.createDataFrame(sorted(labels.items()), "cluster bigint, fan_segment string")
 
 
+def banded_fans(t) -> DataFrame:
+    """Fan profiles with ``fan_segment`` from a fixed clustering: the distance band, labelled by M18.
+
+    A deterministic stand-in for the K-Means segments, so the segment dashboards can be checked against
+    statements; the label table has one row a band and is broadcast.
+    """
+    fans = t["fan_profiles"]
+    bands = _distance_clusters(t).select("fan_id", F.col("cluster").cast("bigint").alias("cluster"))
+    return fans.join(bands, "fan_id").join(F.broadcast(band_labels(t)), "cluster").select(*fans.columns, "fan_segment")
+
+
 def scaled_fans(t) -> DataFrame:
     """Standardised segmentation features, to six decimals."""
     df = sg.scale_features(sg.encode_features(t["fan_profiles"]))
@@ -171,6 +183,10 @@ QUERIES = {
     "m15_segmented_fans": segmented_fans,
     "m17_profile_scores": profile_scores,
     "m18_band_labels": band_labels,
+    "d18_segment_kpis_segmented": lambda t: insights.segment_kpis(t, banded_fans(t)),
+    "d19_segment_summary_segmented": lambda t: insights.segment_summary(t, banded_fans(t)),
+    "d19_segment_spend_long_segmented": lambda t: insights.segment_spend_long(t, banded_fans(t)),
+    "n5_normalised_profile_segmented": lambda t: insights.normalised_profile(t, banded_fans(t)),
     "m19_segment_counts": lambda t: sg.segment_counts(segmented_fans(t)),
     "m19_segment_profile": lambda t: sg.segment_profile(segmented_fans(t)),
     "m4_attendance_forest": partial(model_metrics, fc.ATTENDANCE, "RandomForest"),
