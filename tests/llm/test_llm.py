@@ -626,3 +626,12 @@ def test_mixing_stage_meets_the_targets_without_clipping(spark):
     kept = {r.doc_id for r in pipeline.mix_sources(spark, docs, FOLDER).collect()}
     drawn = {r["__row"]["doc_id"] for _, r in mixed.iterrows() if r["__row"] is not None}
     assert kept <= drawn and len(kept) > 0
+
+
+def test_decontamination_of_many_copies_of_one_item(spark):
+    """Sixty rows of one item text in small blocks: matched once, every id found for itself."""
+    passage = "the quick brown fox jumps over the lazy dog near the river bank today"
+    items = spark.createDataFrame([(i, passage) for i in range(60)] + [(100, "another passage entirely different words here")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "intro " + passage + " outro"), (2, "nothing to see"), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: sorted(h.item_id for h in r.hits) for r in decontaminate.flag(docs, items, block_bytes=64).collect()}
+    assert got == {1: list(range(60)), 2: [], 3: []}

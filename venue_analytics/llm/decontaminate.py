@@ -114,34 +114,46 @@ def flag(docs: DataFrame, items: DataFrame, text: str = "text", rate: float = RA
     """docs with ``hits``: item_id, distance, start and end (in the normalised text) of each item found.
 
     Null or empty texts hold nothing; null or empty items are found nowhere; repeated items are found
-    each for itself. No items: every list is empty. A column of the result's name is replaced.
+    each for itself: each distinct item text is matched once, under its least id, and a hit is then
+    given to every id of that text. No items: every list is empty. A column of the result's name is
+    replaced.
     """
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
+    texts = items.groupBy("text").agg(F.min("item_id").alias("item_id"), F.count(F.lit(1)).alias("copies"))
+    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()[0]
     blocks = max(1, -(-int(total) // (block_bytes // 2)))
     out = docs
     for block in range(blocks):
-        some = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        listed, size = [], 0
+        some = texts if blocks == 1 else texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
+        listed, size, repeated = [], 0, False
         for r in some.toLocalIterator():
-            listed.append((r[0], r[1]))
-            size += len(r[1] or "")
-        if size > 4 * block_bytes:
-            raise ValueError("one block of items is larger than four times block_bytes; a single item is too long")
-        out = _one_block(out, listed, text, rate, column, block > 0)
+            listed.append((r["item_id"], r["text"]))
+            size += len(r["text"] or "")
+            repeated |= r["copies"] > 1
+            if size > 4 * block_bytes:  # checked while collecting: a block's distinct texts, not its copies
+                raise ValueError("one block of distinct item texts is larger than four times block_bytes; a single item is too long")
+        copies: dict[int, list[int]] = {}
+        if repeated:
+            firsts = some.where("copies > 1").select("text", F.col("item_id").alias("first"))
+            for r in items.join(firsts, "text").select("first", "item_id").toLocalIterator():
+                copies.setdefault(r["first"], []).append(r["item_id"])
+        out = _one_block(out, listed, {k: sorted(v, key=lambda i: (i is None, i)) for k, v in copies.items()}, text, rate, column, block > 0)
     return out
 
 
-def _one_block(docs: DataFrame, items: list[tuple[int, str]], text: str, rate: float, column: str, more: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _one_block(docs: DataFrame, items: list[tuple[int, str]], copies: dict[int, list[int]], text: str, rate: float, column: str, more: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((items, copies))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        find = Matcher(shared.value, rate)
+        listed, ids = shared.value
+        find = Matcher(listed, rate)
         kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "distance", "start", "end")]))
         for batch in batches:
             found = []
             for t in batch.column(0).to_pylist():
-                found.append([dict(zip(("item_id", "distance", "start", "end"), h)) for h in find(normal(t))])
+                hits = [(i, *h[1:]) for h in find(normal(t)) for i in ids.get(h[0], [h[0]])]
+                hits.sort(key=lambda h: (h[0] is None, h))
+                found.append([dict(zip(("item_id", "distance", "start", "end"), h)) for h in hits])
             yield [pa.array(found, kind)]
 
     if not more:
