@@ -161,6 +161,8 @@ FROM ({FORECAST}) x WHERE underperforming ORDER BY x.attendance_prediction_error
     "d8_attendance_by_opponent": top("away_team_name", "actual_attendance", "avg_attendance", 15),
     "d9_forecast_sample": f"""SELECT game_id, {big('actual_attendance')} AS actual_attendance, {big('expected_attendance_baseline')} AS predicted_attendance, attendance_tier
 FROM ga ORDER BY ((game_id + 42) % 2147483648) * 2654435761 % 4294967296, game_id LIMIT 800""",
+    "d9_discount_sample": """SELECT game_id, segment_name, CAST(discount_pct AS DOUBLE) AS discount_pct, CAST(net_ticket_revenue AS DOUBLE) AS net_ticket_revenue
+FROM ticket_sales ORDER BY ((ticket_sale_id + 42) % 2147483648) * 2654435761 % 4294967296, ticket_sale_id LIMIT 2000""",
     "d10_ticket_kpis": f"""SELECT {dsum('net_ticket_revenue')} AS total_net_revenue, {avg('avg_ticket_price')} AS avg_ticket_price, (SELECT {avg('rev')} FROM tix) AS avg_revenue_per_game,
  (SELECT segment_name FROM ticket_sales GROUP BY 1 ORDER BY SUM(net_ticket_revenue) DESC, 1 LIMIT 1) AS best_segment,
  (SELECT segment_name FROM ticket_sales GROUP BY 1 ORDER BY {avg('sell_through_rate')} DESC, 1 LIMIT 1) AS best_sell_through_segment FROM ticket_sales""",

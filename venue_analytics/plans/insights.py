@@ -294,9 +294,12 @@ def ticket_detail(t) -> DataFrame:
 
 
 def discount_sample(t) -> DataFrame:
-    """At most 2,000 ticket records for a scatter plot, always the same ones."""
-    df = t["ticket_sales"].select("game_id", "segment_name", "discount_pct", "net_ticket_revenue")
-    return df.orderBy(F.xxhash64(*df.columns, F.lit(42)), *df.columns).limit(2000)
+    """At most 2,000 ticket records for a scatter plot, always the same ones: the seeded sample by record id,
+    which depends on the rows alone (portable: the statement draws the same)."""
+    df = t["ticket_sales"].select("ticket_sale_id", "game_id", "segment_name", "discount_pct", "net_ticket_revenue")
+    return seeded_sample(df, "ticket_sale_id", 2000).select(
+        "game_id", "segment_name", F.col("discount_pct").cast("double").alias("discount_pct"),
+        F.col("net_ticket_revenue").cast("double").alias("net_ticket_revenue"))
 
 
 # ---- dashboard: concessions and merchandise ------------------------------------------------------
