@@ -635,3 +635,30 @@ def test_decontamination_of_many_copies_of_one_item(spark):
     docs = spark.createDataFrame([(1, "intro " + passage + " outro"), (2, "nothing to see"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: sorted(h.item_id for h in r.hits) for r in decontaminate.flag(docs, items, block_bytes=64).collect()}
     assert got == {1: list(range(60)), 2: [], 3: []}
+
+
+def test_language_id_equals_plain_naive_bayes(spark):
+    """Fit and prediction recomputed with counters and loops over the same hashed n-grams (all rows in the fit)."""
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").limit(120).collect()]
+    rows += [(9001, None, "en"), (9002, "1234 !!", None), (9003, "", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, matrix, priors = language.fit(df, F.lit(True), per_language=10**9)
+    labelled = [(t, l) for _, t, l in rows if t is not None and l is not None]
+    assert names == sorted({l for _, l in labelled})
+    counts = {n: np.zeros(language.COLUMNS) for n in names}
+    for t, l in labelled:
+        ids, _ = language.features([t])
+        np.add.at(counts[l], ids, 1)
+    logp = {n: np.log((counts[n] + language.SMOOTHING) / (counts[n] + language.SMOOTHING).sum()) for n in names}
+    prior = {n: math.log(sum(1 for _, l in labelled if l == n) / len(labelled)) for n in names}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(df, (names, matrix, priors)).collect()}
+    for doc_id, t, _ in rows:
+        if not t or not language.LETTER.search(t):
+            assert got[doc_id] == (language.UNKNOWN, 0.0)
+            continue
+        ids, _ = language.features([t])
+        s = [float(logp[n][ids].sum()) + prior[n] for n in names]
+        best = max(range(len(names)), key=lambda i: (s[i], -i))
+        posterior = 1 / sum(math.exp(x - s[best]) for x in s)
+        assert got[doc_id][0] == names[best]
+        assert got[doc_id][1] == pytest.approx(posterior, abs=1e-3)
