@@ -662,3 +662,34 @@ def test_language_id_equals_plain_naive_bayes(spark):
         posterior = 1 / sum(math.exp(x - s[best]) for x in s)
         assert got[doc_id][0] == names[best]
         assert got[doc_id][1] == pytest.approx(posterior, abs=1e-3)
+
+
+def test_mixing_equals_numpy_raking(spark):
+    """Expected tokens after mixing, cell by cell (source x language x topic), against plain iterative
+    proportional fitting of the same token table to the same three marginals."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "source", "lang", "text")
+    mixed = mixing.mix(docs).withColumn("lang_class", F.when(F.col("lang").isin(list(mixing.LANGUAGES)), F.col("lang")).otherwise(mixing.OTHER)).toPandas()
+    mixed["source"] = mixed["source"].fillna("")
+    languages, topics = [*mixing.LANGUAGES, mixing.OTHER], list(mixing.TOPICS)
+    sources = sorted(mixed["source"].unique())
+    w = np.zeros((len(sources), len(languages), len(topics)))
+    e = np.zeros_like(w)
+    for r in mixed.itertuples():
+        at = (sources.index(r.source), languages.index(r.lang_class), topics.index(r.topic))
+        w[at] += r.n_tokens
+        e[at] += r.n_tokens * r.probability * r.weight
+    own = w.sum(axis=(1, 2))
+    want_s = own**0.5 / (own**0.5).sum()
+    want_l = mixing._targets(mixing.LANGUAGES, languages, w.sum(axis=(0, 2)))
+    want_t = mixing._targets(0.7, topics, w.sum(axis=(0, 1)))
+    f, g, h = np.ones(len(sources)), np.ones(len(languages)), np.ones(len(topics))
+    for _ in range(2000):
+        x = w * f[:, None, None] * g[None, :, None] * h[None, None, :]
+        f = f * np.divide(want_s * x.sum(), x.sum(axis=(1, 2)), out=np.zeros_like(f), where=x.sum(axis=(1, 2)) > 0)
+        x = w * f[:, None, None] * g[None, :, None] * h[None, None, :]
+        g = g * np.divide(want_l * x.sum(), x.sum(axis=(0, 2)), out=np.zeros_like(g), where=x.sum(axis=(0, 2)) > 0)
+        x = w * f[:, None, None] * g[None, :, None] * h[None, None, :]
+        h = h * np.divide(want_t * x.sum(), x.sum(axis=(0, 1)), out=np.zeros_like(h), where=x.sum(axis=(0, 1)) > 0)
+    x = w * f[:, None, None] * g[None, :, None] * h[None, None, :]
+    assert np.allclose(e / e.sum(), x / x.sum(), atol=2e-4)
+    assert np.allclose((e / e.sum()).sum(axis=(0, 1)), want_t, atol=2e-4)
