@@ -693,3 +693,11 @@ def test_mixing_equals_numpy_raking(spark):
     x = w * f[:, None, None] * g[None, :, None] * h[None, None, :]
     assert np.allclose(e / e.sum(), x / x.sum(), atol=2e-4)
     assert np.allclose((e / e.sum()).sum(axis=(0, 1)), want_t, atol=2e-4)
+
+
+def test_language_model_reads_a_missing_remote_shard_as_empty():
+    """On a shared folder that is no local path, a shard without entries has no file and reads as empty."""
+    import os
+
+    path = language_model._local("mock:///models/empty-shard", "pairs-000007")
+    assert not os.path.exists(path)

@@ -192,6 +192,8 @@ def _local(folder: str, name: str) -> str:
         from pyarrow import fs
 
         system, path = fs.FileSystem.from_uri(folder)
+        if system.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
+            return copy  # a shard without entries has no file: nothing to copy, and the reader finds none
         with system.open_input_file(f"{path}/{name}") as source, open(part := f"{copy}.{uuid.uuid4().hex}", "wb") as f:
             while data := source.read(16 << 20):
                 f.write(data)
