@@ -20,6 +20,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """df written once to the session's checkpoint folder (spark.checkpoint.dir; a local session naming none
+    gets a temporary one, a cluster must name a shared one) and read from there."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not root:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+            import tempfile
+
+            root = tempfile.mkdtemp(prefix="positions-")
+        context.setCheckpointDir(root)
+    return df.checkpoint(eager=True)
+
+
 def _parts(df: DataFrame, parts: int | None) -> int:
     return parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -34,7 +51,7 @@ def positions(df: DataFrame, key: str, order: list[Column | str], name: str = "_
     Rows equal in key and order get consecutive places in some order. A null key is a key of its own.
     """
     keyed = [F.col(key), *_order_columns(order)]
-    numbered = (
+    numbered = _checkpointed(
         df.repartitionByRange(_parts(df, parts), *keyed)
         .sortWithinPartitions(*keyed)
         .withColumn("_part", F.spark_partition_id())
@@ -42,7 +59,6 @@ def positions(df: DataFrame, key: str, order: list[Column | str], name: str = "_
         .withColumn("_local", F.monotonically_increasing_id())
         # Written once to the session's checkpoint folder: counts and rows must see the same partitions,
         # and two runs of a range exchange needn't cut alike.
-        .checkpoint(eager=True)
     )
     counts = numbered.groupBy("_part", key).agg(F.count(F.lit(1)).alias("_n"), F.min("_local").alias("_first"))
     earlier = F.sum("_n").over(W.partitionBy(key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
@@ -59,7 +75,7 @@ def dense_numbers(df: DataFrame, key: str, order: Column, value: str, name: str,
     (partition, key), which holds at most one partition's rows.
     """
     numbered = df.repartitionByRange(_parts(df, parts), F.col(key), order).withColumn("_part", F.spark_partition_id())
-    local = numbered.withColumn("_local", F.dense_rank().over(W.partitionBy("_part", key).orderBy(order))).checkpoint(eager=True)
+    local = _checkpointed(numbered.withColumn("_local", F.dense_rank().over(W.partitionBy("_part", key).orderBy(order))))
     counts = local.groupBy("_part", key).agg(F.max("_local").alias("_values"))
     earlier = F.sum("_values").over(W.partitionBy(key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
     offsets = counts.select(F.col("_part").alias("_at"), F.col(key).alias("_key"), F.coalesce(earlier, F.lit(0)).alias("_above"))
