@@ -173,3 +173,26 @@ def test_record_ids_do_not_depend_on_the_file_split(spark):
         spark.conf.set(key, before)
     assert seen[0] == seen[1] == seen[2]
     assert all(len(v) == len(set(v)) > 0 for v in seen[0].values())
+
+
+def test_fingerprint_reads_only_the_sources_and_lists_nothing(spark, tmp_path):
+    """Many files of another table cost nothing; a change to lineitem still shows, one to pages doesn't."""
+    import shutil
+    import time
+
+    from venue_analytics.sources.tables import source_fingerprint
+
+    source = "/root/testdata/sf0.001"
+    for name in ("region", "nation", "customer", "orders", "lineitem"):
+        shutil.copyfile(f"{source}/{name}.parquet", tmp_path / f"{name}.parquet")
+    (tmp_path / "pages.parquet").mkdir()
+    for i in range(2000):
+        (tmp_path / "pages.parquet" / f"part-{i:05d}.parquet").write_bytes(b"x")
+    start = time.perf_counter()
+    first = source_fingerprint(spark, str(tmp_path))
+    assert time.perf_counter() - start < 5
+    (tmp_path / "pages.parquet" / "part-99999.parquet").write_bytes(b"y")
+    assert source_fingerprint(spark, str(tmp_path)) == first
+    with open(tmp_path / "lineitem.parquet", "ab") as f:
+        f.write(b"changed")
+    assert source_fingerprint(spark, str(tmp_path)) != first
