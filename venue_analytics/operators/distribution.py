@@ -123,6 +123,30 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
+def histograms(df: DataFrame, specs: list[tuple[str, int]]) -> DataFrame:
+    """``histogram`` of several columns of one frame in two passes: one for all ranges, one for all bins.
+
+    The columns are unfolded into (column, value) rows once; each value's bin comes from its column's
+    low edge and width, given as literals (two numbers a column), with the same arithmetic as
+    ``histogram``.
+    """
+    x = {c: F.col(c).cast("double") for c, _ in specs}
+    edges = df.agg(*[F.struct(F.min(x[c]).alias("low"), F.max(x[c]).alias("high")).alias(f"e{i}") for i, (c, _) in enumerate(specs)]).head()
+    parts = []
+    for i, (c, bins) in enumerate(specs):
+        low, high = edges[f"e{i}"]["low"], edges[f"e{i}"]["high"]
+        width = (high - low) / float(bins) if low is not None else None
+        parts.append((c, bins, low, width))
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), x[c].alias("v")) for c, _ in specs]))).where(F.col("v").isNotNull())
+    pick = lambda values: F.element_at(F.create_map(*[F.lit(z) for c, *rest in parts for z in (c, rest[values])]), F.col("column"))
+    bins_of, low_of, width_of = pick(0), pick(1).cast("double"), pick(2).cast("double")
+    place = F.floor((F.col("v") - low_of) / F.nullif(width_of, F.lit(0.0))).cast("bigint")
+    index = F.least(F.coalesce(place, F.lit(0).cast("bigint")), (bins_of - 1).cast("bigint"))
+    counted = long.groupBy("column", index.alias("bin")).agg(F.count("*").alias("rows"))
+    lower = low_of + F.col("bin") * width_of
+    return counted.select("column", "bin", half_up(lower, 6).alias("low"), half_up(lower + width_of, 6).alias("high"), "rows")
+
+
 def correlations(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     """feature_a, feature_b, corr for every pair of columns, from one aggregation pass."""
     pairs = list(combinations(columns, 2))
