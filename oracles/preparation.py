@@ -146,6 +146,10 @@ PAIRS = "(1, 2), (1, 3), (4, 5), (6, 4), (7, 8), (24, 1)"
 BUFFER = "CASE attendance_tier WHEN 'Sellout' THEN 120 WHEN 'High' THEN 115 WHEN 'Medium' THEN 110 ELSE 105 END"
 
 SQL: dict[str, str] = {
+    "s04_catalog_layers": """SELECT c.catalog, c.table_name, c.layer,
+ CAST(CASE c.table_name WHEN 'promotions' THEN (SELECT COUNT(*) FROM promotions) WHEN 'ticket_segments' THEN (SELECT COUNT(*) FROM ticket_segments) ELSE 0 END AS BIGINT) AS rows
+FROM (VALUES ('cleaned_first', 'promotions', 'cleaned'), ('cleaned_first', 'ticket_segments', 'raw'), ('cleaned_first', 'weather', 'empty'),
+ ('raw_first', 'promotions', 'raw'), ('raw_first', 'ticket_segments', 'raw'), ('raw_first', 'weather', 'empty')) c(catalog, table_name, layer)""",
     "s01_csv_round_trip": f"""SELECT {cnt()} AS rows, CAST(0 AS BIGINT) AS bad_rows, CAST(COUNT(*) FILTER (WHERE segment_name IS NULL) AS BIGINT) AS null_segment_names,
  CAST(SUM(tickets_sold) AS BIGINT) AS tickets_sold, CAST(SUM(net_ticket_revenue) AS DOUBLE) AS net_ticket_revenue FROM ticket_sales""",
     "s03_row_counts": "\nUNION ALL ".join(f"SELECT '{n}' AS table_name, {cnt()} AS rows FROM {n}" for n in TABLE_NAMES),

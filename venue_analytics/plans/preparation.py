@@ -12,7 +12,7 @@ from ..functions import rules
 from ..functions.numeric import half_up, int_div
 from ..operators import quality
 from ..operators.features import attendance_features, build_features, revenue_features, team_form
-from ..sources.catalog import CORRUPT, read_csv
+from ..sources.catalog import CORRUPT, Catalog, read_csv
 from ..sources.schemas import SCHEMAS
 from ..sources.tables import shared_root
 
@@ -159,7 +159,35 @@ def csv_round_trip(t, name: str = "ticket_sales") -> DataFrame:
     )
 
 
+def catalog_layers(t) -> DataFrame:
+    """S4-S6, S9: which layer of a two-folder catalogue answers for a table, and with how many rows.
+
+    promotions is written to both folders (raw CSV, cleaned Parquet), ticket_segments to the raw one
+    only, weather to none. A catalogue preferring cleaned tables and one preferring raw ones load each;
+    a missing table gives an empty typed frame. Rows are counted by SQL text over the catalogue's views.
+    """
+    spark = t["games"].sparkSession
+    root = f"{shared_root(spark)}/catalog-{uuid.uuid4().hex}"
+    raw, cleaned = f"{root}/raw", f"{root}/cleaned"
+    for name in ("promotions", "ticket_segments"):
+        t[name].write.option("header", True).option("emptyValue", '""').csv(f"{raw}/{name}.csv")
+    quality.clean("promotions", t["promotions"]).write.parquet(f"{cleaned}/promotions.parquet")
+    rows = []
+    for label, prefer in (("cleaned_first", "cleaned"), ("raw_first", "raw")):
+        catalog = Catalog(spark, raw, cleaned, prefer=prefer, on_missing="empty")
+        for name in ("promotions", "ticket_segments", "weather"):
+            df = catalog.load(name)
+            view = f"catalog_{label}_{name}"
+            df.createOrReplaceTempView(view)
+            count = catalog.query(f"SELECT COUNT(*) FROM {view}").head()[0]
+            where = df.select(F.col("_metadata.file_path")).head() if count else None
+            layer = "empty" if where is None else "cleaned" if "/cleaned/" in where[0] else "raw"
+            rows.append((label, name, layer, int(count)))
+    return spark.createDataFrame(rows, "catalog string, table_name string, layer string, rows long")
+
+
 QUERIES = {
+    "s04_catalog_layers": catalog_layers,
     "s01_csv_round_trip": csv_round_trip,
     "s03_row_counts": row_counts,
     "c18_validate_all": quality.validate_all,
