@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from venue_analytics.sources.schemas import SCHEMAS
+
 from .base import avg, big, cnt, dbl, even, hu
 
 TABLE_NAMES = [
@@ -146,6 +148,14 @@ PAIRS = "(1, 2), (1, 3), (4, 5), (6, 4), (7, 8), (24, 1)"
 BUFFER = "CASE attendance_tier WHEN 'Sellout' THEN 120 WHEN 'High' THEN 115 WHEN 'Medium' THEN 110 ELSE 105 END"
 
 SQL: dict[str, str] = {
+    **{
+        f"c16_{n}": "SELECT " + ", ".join(
+            f"CAST({f.name} AS DOUBLE) AS {f.name}" if f.dataType.typeName() == "decimal"
+            else f"CAST({f.name} AS BIGINT) AS {f.name}" if f.dataType.typeName() in ("integer", "short") else f.name
+            for f in SCHEMAS[n].fields
+        ) + f" FROM {n}"
+        for n in ("weather", "promotions", "ticket_segments")
+    },
     "s04_catalog_layers": """SELECT c.catalog, c.table_name, c.layer,
  CAST(CASE c.table_name WHEN 'promotions' THEN (SELECT COUNT(*) FROM promotions) WHEN 'ticket_segments' THEN (SELECT COUNT(*) FROM ticket_segments) ELSE 0 END AS BIGINT) AS rows
 FROM (VALUES ('cleaned_first', 'promotions', 'cleaned'), ('cleaned_first', 'ticket_segments', 'raw'), ('cleaned_first', 'weather', 'empty'),
