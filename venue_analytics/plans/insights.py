@@ -15,12 +15,10 @@ from ..operators.distribution import histograms as several_histograms
 from ..operators.features import attendance_features, build_features
 from ..operators.marts import full_revenue, hub, hub_with_revenue
 from .preparation import demand_baseline
+from ..operators.segments import BEHAVIOURAL_FEATURES
 from .views import _best
 
-FAN_FEATURES = [
-    "games_attended_last_12_months", "avg_ticket_spend", "avg_concession_spend", "avg_merchandise_spend",
-    "promotion_usage_rate", "email_engagement_score", "fan_value_score",
-]
+FAN_FEATURES = BEHAVIOURAL_FEATURES
 CORRELATED = [
     "is_weekend", "rivalry_flag", "nationally_televised_flag", "promotion_flag", "home_team_win_pct_entering_game",
     "away_team_win_pct_entering_game", "home_team_popularity", "away_team_popularity", "temperature_f", "snow_flag",
