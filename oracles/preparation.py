@@ -82,6 +82,10 @@ RULES = [
     ref("ticket_sales", "game_id", "games", "game_id"), ref("ticket_sales", "segment_id", "ticket_segments", "segment_id"),
     ref("fan_transactions", "fan_id", "fan_profiles", "fan_id"), ref("fan_transactions", "game_id", "games", "game_id"),
 ]
+# The declared schema's constraints the cleaning rules leave out: NOT NULL of non-nullable columns, record ids as keys.
+_NAMED = {(t, n) for t, n, _ in RULES}
+RULES += [present(t, f.name) for t in dict.fromkeys(t for t, _, _ in RULES) for f in SCHEMAS[t].fields if not f.nullable and (t, f"{f.name} is not null") not in _NAMED]
+RULES += [uniq(t, c) for t, c in (("ticket_sales", "ticket_sale_id"), ("concessions", "concession_id"), ("merchandise", "merchandise_id"))]
 ALL_RULES = "\nUNION ALL ".join(
     f"SELECT '{name}' AS rule, '{table}' AS table_name, {big(f'({sql})')} AS violations" for table, name, sql in RULES
 )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.numeric import clip, half_even
+from ..sources.schemas import SCHEMAS
 
 
 @dataclass(frozen=True)
@@ -73,8 +74,26 @@ def _sales_rules() -> list[Rule]:
     ]
 
 
+# Record ids, the primary keys of the fact tables that have one of their own.
+RECORD_KEYS = {"ticket_sales": "ticket_sale_id", "concessions": "concession_id", "merchandise": "merchandise_id"}
+
+
+def declared_rules(name: str, rules: list[Rule]) -> list[Rule]:
+    """The declared schema's constraints the cleaning rules leave out: NOT NULL of every non-nullable
+    column, and the table's record id as its primary key."""
+    known = {r.name for r in rules}
+    extra = [not_null(f.name) for f in SCHEMAS[name].fields if not f.nullable and f"{f.name} is not null" not in known]
+    if name in RECORD_KEYS and f"{RECORD_KEYS[name]} is unique" not in known:
+        extra.append(unique(RECORD_KEYS[name]))
+    return rules + extra
+
+
 def table_rules() -> dict[str, list[Rule]]:
     """Rules of the cleaning job and of the declared schema, per table."""
+    return {name: declared_rules(name, rules) for name, rules in _cleaning_rules().items()}
+
+
+def _cleaning_rules() -> dict[str, list[Rule]]:
     return {
         "teams": [
             unique("team_id"), unique("team_name"), unique("team_abbr"), at_least("arena_capacity", 0, strict=True),
