@@ -7,6 +7,8 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from venue_analytics.operators import distribution, features, forecast, quality, segments
@@ -394,6 +396,21 @@ def test_kmeans_finds_separated_groups(spark):
     assert sorted(r["count"] for r in sizes) == [60, 60, 60]
 
 
+def test_kmeans_fits_share_their_passes_and_equal_mllib(spark, monkeypatch):
+    """All fits iterate together (passes of the slowest fit, not the sum), with MLlib's own centres."""
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(400, 3)), columns=["z_a", "z_b", "z_c"])).cache()
+    vectors = VectorAssembler(inputCols=df.columns, outputCol="features").transform(df).cache()
+    fits = {(k, r): KMeans(k=k, seed=segments.SEED + r, maxIter=300).fit(vectors) for k in (2, 4) for r in range(3)}
+    passes, step = [], segments._lloyd_step
+    monkeypatch.setattr(segments, "_lloyd_step", lambda *args: passes.append(1) or step(*args))
+    centres = segments.kmeans(df, [2, 4], restarts=3)
+    assert len(passes) == max(m.summary.numIter for m in fits.values())
+    for k in (2, 4):
+        best = min((fits[k, r] for r in range(3)), key=lambda m: m.summary.trainingCost)
+        np.testing.assert_allclose(centres[k], np.array(best.clusterCenters()), atol=1e-9)
+
+
 def test_labels_are_greedy_and_one_to_one():
     scores = [(0, 0, 5.0), (0, 1, 4.0), (1, 0, 5.0), (1, 1, 1.0), (2, 0, 0.0), (2, 2, -1.0)]
     # Tie at 5: the first pair wins; cluster 2 has nothing above -1 left and takes the spare label.

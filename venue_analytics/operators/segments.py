@@ -6,6 +6,7 @@ import logging
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -52,30 +53,98 @@ def scale_features(df: DataFrame, columns: list[str] = SEGMENTATION_FEATURES) ->
     return scaled.withColumns({f"z_{c}": (value[c] - F.col("_stats")[f"m_{c}"]) / deviation(c) for c in columns}).drop("_stats")
 
 
+def _blocks(features: DataFrame) -> DataFrame:
+    """The rows as binary blocks (a row-major matrix of doubles per Arrow batch), spread over at least one partition per core."""
+    columns = features.columns
+
+    def pack(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+                yield pa.RecordBatch.from_pydict({"block": [np.ascontiguousarray(x, dtype=np.float64).tobytes()]})
+
+    blocks = features.mapInArrow(pack, "block binary")
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(cores) if features.rdd.getNumPartitions() < cores else blocks
+
+
+def _lloyd_step(blocks: DataFrame, width: int, centres: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """One pass over all rows for several fits at once: per fit its clusters' sums, row counts and the cost.
+
+    A partition sends one record of (clusters x (width + 1)) + 1 numbers a fit, whatever its rows.
+    """
+    def step(batches):
+        sums = [np.zeros((len(c), width + 1)) for c in centres]
+        costs = np.zeros(len(centres))
+        norms = [(c * c).sum(axis=1) for c in centres]
+        for batch in batches:
+            for block in batch.column("block"):
+                every = np.frombuffer(block.as_buffer(), dtype=np.float64).reshape(-1, width)
+                for at in range(0, len(every), 4096):  # a slice's distances stay in the processor's cache
+                    x = every[at:at + 4096]
+                    squares, ones = np.einsum("ij,ij->i", x, x), np.column_stack([x, np.ones(len(x))])
+                    for i, c in enumerate(centres):
+                        gaps = norms[i][:, None] - 2.0 * (c @ x.T)
+                        best, place = gaps[0].copy(), np.zeros(len(x), dtype=np.int64)
+                        for j in range(1, len(c)):  # the first centre wins a tie
+                            place[gaps[j] < best] = j
+                            np.minimum(best, gaps[j], out=best)
+                        sums[i] += (place == np.arange(len(c))[:, None]).astype(np.float64) @ ones
+                        costs[i] += np.maximum(best + squares, 0.0).sum()
+        yield pa.RecordBatch.from_pydict({"sums": [np.concatenate([s.ravel() for s in sums] + [costs]).tobytes()]})
+
+    parts = [np.frombuffer(r["sums"], dtype=np.float64) for r in blocks.mapInArrow(step, "sums binary").collect()]
+    total, out, at = np.sum(parts, axis=0), [], 0
+    for i, c in enumerate(centres):
+        table = total[at:at + len(c) * (width + 1)].reshape(len(c), width + 1)
+        at += table.size
+        out.append((table[:, :width], table[:, width], float(total[i - len(centres)])))
+    return out
+
+
 def kmeans(
     features: DataFrame, ks: list[int], restarts: int, seed: int = SEED, max_iter: int = 300, tol: float = 1e-4, parallelism: int = 8
 ) -> dict[int, np.ndarray]:
-    """Centres of the lowest-cost fit per k; every fit seeds (k-means||) and iterates over all rows.
+    """Centres of the lowest-cost fit per k; every fit seeds (MLlib's k-means||) and iterates over all rows.
 
-    Up to ``parallelism`` fits run at a time over the same persisted vectors. A chosen fit that used all its iterations may not have settled; that is logged.
+    Up to ``parallelism`` fits are seeded at a time over the same persisted vectors. Then all fits iterate
+    together: one pass over the rows assigns them to the centres of every fit that has not settled, so the
+    passes are as many as the slowest fit's iterations, not the sum over the fits. Rules are MLlib's: a fit
+    settles when no centre moves farther than ``tol``, an empty cluster keeps its centre, the cost is the
+    last pass's. A chosen fit that used all its iterations may not have settled; that is logged.
     """
     vectors = VectorAssembler(inputCols=features.columns, outputCol="features").transform(features).select("features").persist()
     vectors.count()  # stored before the fits start together
 
-    def fit(task: tuple[int, int]):
+    def start(task: tuple[int, int]) -> np.ndarray:
         k, restart = task
-        return KMeans(k=k, seed=seed + restart, maxIter=max_iter, tol=tol, initMode="k-means||").fit(vectors)
+        return np.array(KMeans(k=k, seed=seed + restart, maxIter=0, initMode="k-means||").fit(vectors).clusterCenters())
 
     tasks = [(k, r) for k in ks for r in range(restarts)]
     with ThreadPool(parallelism) as pool:
-        fits = list(zip(tasks, pool.map(fit, tasks)))
+        centres = dict(zip(tasks, pool.map(start, tasks)))
+    vectors.unpersist()
+    blocks = _blocks(features).persist()
+    costs, iterations, active = dict.fromkeys(tasks, float("inf")), dict.fromkeys(tasks, 0), list(tasks)
+    for _ in range(max_iter):
+        if not active:
+            break
+        moving = []
+        for task, (sums, counts, cost) in zip(active, _lloyd_step(blocks, len(features.columns), [centres[x] for x in active])):
+            old = centres[task]
+            centres[task] = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1.0)[:, None], old)
+            costs[task], iterations[task] = cost, iterations[task] + 1
+            if (((centres[task] - old) ** 2).sum(axis=1) > tol * tol).any():
+                moving.append(task)
+        active = moving
+    blocks.unpersist()
     best = {}
     for k in ks:
-        best[k] = min((model for (of, _), model in fits if of == k), key=lambda model: model.summary.trainingCost)
-        if best[k].summary.numIter >= max_iter:
+        chosen = min((task for task in tasks if task[0] == k), key=costs.get)
+        best[k] = centres[chosen]
+        if iterations[chosen] >= max_iter:
             log.warning("K-Means of %d clusters had not settled after %d iterations", k, max_iter)
-    vectors.unpersist()
-    return {k: np.array(model.clusterCenters()) for k, model in best.items()}
+    return best
 
 
 def assign_clusters(df: DataFrame, centres: np.ndarray, columns: list[str] = SEGMENTATION_FEATURES) -> DataFrame:
