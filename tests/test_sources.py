@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from venue_analytics.plans.views import VIEWS, register_views
 from venue_analytics.sources.catalog import Catalog, MissingTable, load_into_session, read_csv
 from venue_analytics.sources.schemas import SCHEMAS
-from venue_analytics.sources.tables import workspace
+from venue_analytics.sources.tables import Workspace, workspace
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -137,7 +137,7 @@ def test_changed_folder_is_read_anew(spark, tmp_path):
     """A replaced source file never answers with the tables stored before."""
     import shutil
 
-    from venue_analytics.sources.tables import workspace
+    from venue_analytics.sources.tables import Workspace, workspace
 
     source = "/root/testdata/sf0.001"
     for name in ("region", "nation", "customer", "orders", "lineitem"):
@@ -196,3 +196,33 @@ def test_fingerprint_reads_only_the_sources_and_lists_nothing(spark, tmp_path):
     with open(tmp_path / "lineitem.parquet", "ab") as f:
         f.write(b"changed")
     assert source_fingerprint(spark, str(tmp_path)) != first
+
+
+def test_marts_number_no_records(spark, tmp_path):
+    """Roll-ups and questions that name no record never sort and write the line items for ids; their rows are the facts' own."""
+    import datetime as dt
+
+    lines = [(1, 5, 3, 1), (1, 5, 3, 1), (1, 6, 2, 2), (2, 7, 1, 1), (2, 7, 1, 2), (None, 7, 1, 2)]
+    when = dt.datetime(2020, 1, 2)
+    own = {
+        "lineitem": ([(o, p, s, n, 1.0 + n, 100.0 * n + p, 0.05, "A", "F") for o, p, s, n in lines],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string"),
+        "orders": ([(1, 1, 150.0, when, "1-URGENT"), (2, 1, 250.0, when, "5-LOW"), (2, 1, 250.0, when, "5-LOW")],
+                   "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "customer": ([(1, 0)], "c_custkey bigint, c_nationkey int"),
+        "nation": ([(i, f"N{i}", 0) for i in range(25)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+    }
+    for name, (rows, schema) in own.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Workspace(spark, str(tmp_path))
+    try:
+        assert t.mart("tickets_by_game").count() == 3 and t.mart("merchandise_by_game").count() == t.mart("concessions_by_game").count() > 0
+        assert t.adapter._numbered is None
+        for name in ("ticket_sales", "concessions", "merchandise"):
+            numbered = t[name].drop(t[name].columns[0])
+            assert t.records(name).dtypes == numbered.dtypes
+            assert sorted(map(str, t.records(name).collect())) == sorted(map(str, numbered.collect()))
+        assert t.adapter._numbered is not None
+    finally:
+        t.forget()

@@ -27,7 +27,7 @@ def baselines(t) -> DataFrame:
         exact_avg("capacity_pct").alias("avg_cap_pct"),
     )
     per_game = lambda mart, rev: t.mart(mart).agg(exact_avg(rev)).scalar()
-    price = lambda table, column: t[table].agg(exact_avg(column)).scalar()
+    price = lambda table, column: t.records(table).agg(exact_avg(column)).scalar()
     df = venue.select(
         "*", per_game("tickets_by_game", "ticket_rev").alias("avg_ticket_rev"),
         price("ticket_sales", "avg_ticket_price").alias("avg_ticket_price"),
@@ -96,7 +96,7 @@ def scenarios(t, scenario_df: DataFrame) -> DataFrame:
 def category_baselines(t) -> DataFrame:
     """label, per_cap and unit_price per concession and merchandise category."""
     def part(table: str, prefix: str, default: float) -> DataFrame:
-        means = t[table].groupBy("category").agg(
+        means = t.records(table).groupBy("category").agg(
             exact_avg("per_cap_spend").alias("per_cap"), exact_avg("avg_unit_price").alias("price"))
         return means.select(
             F.concat(F.lit(prefix), "category").alias("label"), "per_cap", _or_default(F.col("price"), default).alias("unit_price"))

@@ -42,7 +42,7 @@ def attendance_performance(t) -> DataFrame:
 def ticket_segment_performance(t) -> DataFrame:
     """Every ticket record with its game, price tier and revenue rank within the game."""
     details = hub(t, "attendance").select(*MATCHUP, "attendance_tier")
-    ranked = dense_rank_desc(t["ticket_sales"], "game_id", "net_ticket_revenue", "segment_revenue_rank", details)
+    ranked = dense_rank_desc(t.records("ticket_sales"), "game_id", "net_ticket_revenue", "segment_revenue_rank", details)
     out = ranked.join(t["ticket_segments"].select("segment_id", "price_tier"), "segment_id")
     return out.select(
         *MATCHUP, "attendance_tier", "segment_id", "segment_name", "price_tier", "tickets_available", "tickets_sold",

@@ -38,9 +38,10 @@ def _scaled(c: Column, step: str, target: str) -> Column:
     return (c * _dec(step)).cast(target)
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select and cast a frame to a declared schema."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+def conform(df: DataFrame, name: str, numbered: bool = True) -> DataFrame:
+    """Select and cast a frame to a declared schema, if not ``numbered`` without its first column, the record id."""
+    fields = SCHEMAS[name].fields if numbered else SCHEMAS[name].fields[1:]
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
 class SalesAdapter:
@@ -185,13 +186,14 @@ class SalesAdapter:
         return conform(self._orders().select("game_id", *empty), "model_predictions")
 
     # ---- facts -----------------------------------------------------------------------------------
-    def ticket_sales(self) -> DataFrame:
+    def ticket_sales(self, numbered: bool = True) -> DataFrame:
+        """One record per line item; not ``numbered``: without its record id, a projection of the source."""
         price, qty = _money("l_extendedprice"), F.col("l_quantity").cast("int")
         seat = F.concat("l_returnflag", "l_linestatus")
         segment_of = {"AF": 1, "AO": 2, "NF": 3, "NO": 4, "RF": 8, "RO": 9}
         names = {key: rules.TICKET_SEGMENTS[i - 1][1] for key, i in segment_of.items()}
-        out = self._lines().select(
-            F.col("_record_id").alias("ticket_sale_id"), _big("l_orderkey").alias("game_id"),
+        out = self._lines(numbered).select(
+            *([F.col("_record_id").alias("ticket_sale_id")] if numbered else []), _big("l_orderkey").alias("game_id"),
             rules.lookup(seat, segment_of, None).alias("segment_id"),
             rules.lookup(seat, names, None).alias("segment_name"),
             F.lit(50).alias("tickets_available"), qty.alias("tickets_sold"),
@@ -201,49 +203,52 @@ class SalesAdapter:
             F.round(price * (F.lit(1) - F.col("l_discount").cast("decimal(5,2)")), 2).alias("net_ticket_revenue"),
             (qty * 2).alias("sell_through_rate"),
         )
-        return conform(out, "ticket_sales")
+        return conform(out, "ticket_sales", numbered)
 
-    def _lines(self) -> DataFrame:
-        """Line items with ``_record_id``: the row's place in the whole table ordered by all its columns, nulls first.
+    def _lines(self, numbered: bool = True) -> DataFrame:
+        """Line items, if ``numbered`` with ``_record_id``: the row's place in the whole table ordered by all its columns, nulls first.
 
         The source key (order, line number) repeats in the data, so the id is the row's place in that total
         order: it depends on the rows alone, not on how the files split or on retries, and rows equal in
         every column are interchangeable. ``positions`` spreads the order over range partitions (no task
         holds a crowded key) and checkpoints the numbered table once for this adapter.
         """
+        if not numbered:
+            return self.source("lineitem")
         if self._numbered is None:
             lines = self.source("lineitem")
             order = [F.asc_nulls_first(c) for c in lines.columns]
             self._numbered = positions(lines.withColumn("_table", F.lit(0)), "_table", order, "_record_id").drop("_table")
         return self._numbered
 
-    def _category_sales(self, name: str, odd: int, key: str, share: str, kinds: list, attendance: DataFrame) -> DataFrame:
+    def _category_sales(self, name: str, odd: int, key: str, share: str, kinds: list, attendance: DataFrame, numbered: bool) -> DataFrame:
         """Concession or merchandise records: one per line item of the given parity."""
+        ids = ["_record_id"] if numbered else []
         which = F.col(key) % len(kinds)
         gross = F.round(_money("l_extendedprice") * _dec(share), 2)
         cost_share = F.element_at(F.array(*[_dec(c) for _, _, c in kinds]), (which + 1).cast("int"))
         price = F.element_at(F.array(*[F.lit(p).cast("decimal(8,2)") for _, p, _ in kinds]), (which + 1).cast("int"))
-        lines = self._lines().where(F.col("l_linenumber") % 2 == odd).select(
-            "_record_id", _big("l_orderkey").alias("game_id"), rules.pick(which, [n for n, _, _ in kinds]).alias("category"),
+        lines = self._lines(numbered).where(F.col("l_linenumber") % 2 == odd).select(
+            *ids, _big("l_orderkey").alias("game_id"), rules.pick(which, [n for n, _, _ in kinds]).alias("category"),
             F.col("l_quantity").cast("int").alias("units_sold"), price.alias("avg_unit_price"),
             _money(gross).alias("gross_revenue"), _money(F.round(_money(gross) * cost_share, 2)).alias("estimated_cost"),
         )
         venue = attendance.select("game_id", "actual_attendance", "attendance_tier")
         out = lines.join(venue, "game_id").select(
-            F.col("_record_id").alias(SCHEMAS[name].fields[0].name), *[c for c in lines.columns if c != "_record_id"], "actual_attendance", "attendance_tier",
+            *[F.col(c).alias(SCHEMAS[name].fields[0].name) for c in ids], *[c for c in lines.columns if c not in ids], "actual_attendance", "attendance_tier",
             (F.col("gross_revenue") - F.col("estimated_cost")).alias("gross_margin"),
             unit_amount((F.col("gross_revenue") * 100).cast("bigint"), _big("actual_attendance")).alias("per_cap_spend"),
             rules.inventory_units("units_sold", "attendance_tier").alias("recommended_inventory_units"),
         )
-        return conform(out, name)
+        return conform(out, name, numbered)
 
-    def concessions(self, attendance: DataFrame | None = None) -> DataFrame:
+    def concessions(self, attendance: DataFrame | None = None, numbered: bool = True) -> DataFrame:
         attendance = self.attendance() if attendance is None else attendance
-        return self._category_sales("concessions", 1, "l_suppkey", "0.30", rules.CONCESSION_CATEGORIES, attendance)
+        return self._category_sales("concessions", 1, "l_suppkey", "0.30", rules.CONCESSION_CATEGORIES, attendance, numbered)
 
-    def merchandise(self, attendance: DataFrame | None = None) -> DataFrame:
+    def merchandise(self, attendance: DataFrame | None = None, numbered: bool = True) -> DataFrame:
         attendance = self.attendance() if attendance is None else attendance
-        return self._category_sales("merchandise", 0, "l_partkey", "0.20", rules.MERCHANDISE_CATEGORIES, attendance)
+        return self._category_sales("merchandise", 0, "l_partkey", "0.20", rules.MERCHANDISE_CATEGORIES, attendance, numbered)
 
     # ---- fans ------------------------------------------------------------------------------------
     def fan_profiles(self) -> DataFrame:
