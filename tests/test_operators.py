@@ -490,3 +490,54 @@ def test_chosen_model_drives_predictions_and_importances(spark, monkeypatch):
                 assert 0 < sum(r["importance"] for r in importances) <= 1 + 1e-9
     finally:
         t.__dict__.pop("_fitted", None)
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    """Rows of three wide numbers, a flag, a code, a constant and a one-hot pair, with whole labels."""
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(1)
+    rows = []
+    for _ in range(2000):
+        x = [*rng.normal(size=3).tolist(), float(rng.integers(0, 2)), float(rng.integers(0, 12)), 5.0]
+        x += [1.0 - x[3], x[3] * (x[4] > 5)]
+        rows.append((x, float(int(100 * x[0] + 50 * x[1] * x[3] + 7 * x[4] + rng.integers(-9, 9)))))
+    df = spark.createDataFrame(rows, "x array<double>, y double").repartition(3)
+    return df.select("x", "y", array_to_vector("x").alias("features"), F.col("y").alias("label")).persist()
+
+
+def _scores(model, df):
+    return np.array([r["prediction"] for r in model.transform(df).orderBy("x").collect()])
+
+
+@pytest.mark.parametrize("local_rows", [50, 10**6])
+def test_forest_without_bags_is_mllibs_tree(vectors, local_rows, monkeypatch):
+    """Whether rows or histograms travel, every tree over all rows is the tree that MLlib grows."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from venue_analytics.operators import trees
+
+    monkeypatch.setattr(trees, "LOCAL_ROWS", local_rows)
+    one = DecisionTreeRegressor(maxDepth=6).fit(vectors)
+    two = trees.Forest(numTrees=2, maxDepth=6, bootstrap=False, seed=3).fit(vectors)
+    assert np.allclose(_scores(one, vectors), _scores(two, vectors), rtol=0, atol=1e-9)
+    assert two.totalNumNodes >= 2 * one.numNodes and type(two).__name__ == "RandomForestRegressionModel"
+
+
+def test_forest_bags_do_not_depend_on_where_nodes_finish(vectors, monkeypatch):
+    from venue_analytics.operators import trees
+
+    scores = []
+    for local_rows in (100, 10**6):
+        monkeypatch.setattr(trees, "LOCAL_ROWS", local_rows)
+        scores.append(_scores(trees.Forest(numTrees=3, maxDepth=5, seed=3).fit(vectors), vectors))
+    assert np.allclose(*scores, rtol=0, atol=1e-9)
+
+
+def test_large_tasks_forests_move_rows(spark):
+    """The registered candidates: a forest whose deep nodes travel as rows."""
+    from venue_analytics.operators import trees
+
+    found = forecast.estimators(forecast.REVENUE)
+    assert isinstance(found["RandomForest"], trees.Forest) and found["RandomForest"].getNumTrees() == 200
+    assert found["RandomForest"].getMaxDepth() == 14
