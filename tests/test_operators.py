@@ -541,3 +541,23 @@ def test_large_tasks_forests_move_rows(spark):
     found = forecast.estimators(forecast.REVENUE)
     assert isinstance(found["RandomForest"], trees.Forest) and found["RandomForest"].getNumTrees() == 200
     assert found["RandomForest"].getMaxDepth() == 14
+
+
+@pytest.mark.parametrize("direct", [0, 10**6])
+def test_boosting_is_mllibs(vectors, direct, monkeypatch):
+    from pyspark.ml.regression import GBTRegressor
+    from venue_analytics.operators import trees
+
+    monkeypatch.setattr(trees, "REBUILD", 3)
+    monkeypatch.setattr(trees, "DIRECT_ROWS", direct)
+    options = {"maxIter": 5, "stepSize": 0.05, "maxDepth": 4, "seed": 42}
+    old, new = GBTRegressor(**options).fit(vectors), trees.Boosting(**options).fit(vectors)
+    assert np.allclose(_scores(old, vectors), _scores(new, vectors), rtol=0, atol=1e-6)
+    assert list(new.treeWeights) == [1.0] + [0.05] * 4 and new.totalNumNodes == old.totalNumNodes
+
+
+def test_large_tasks_boost_over_packed_blocks(spark):
+    from venue_analytics.operators import trees
+
+    found = forecast.estimators(forecast.REVENUE)["GradientBoosting"]
+    assert isinstance(found, trees.Boosting) and found.getMaxIter() == 200
