@@ -69,6 +69,22 @@ def test_positions_exact_with_a_crowded_date_and_a_far_outlier_id(spark):
     assert max(r["count"] for r in sizes) <= 505 and len(sizes) >= 7
 
 
+def test_positions_shuffle_the_rows_once(spark):
+    """The numbered rows join the written, small frame of offsets by broadcast, without a second shuffle."""
+    df = spark.createDataFrame([(i % 3, i) for i in range(50)], "k int, v int")
+    plan = positions(df, "k", ["v"], parts=4)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_lagged_means_of_decimals_share_one_sort(spark):
+    df = spark.sql("SELECT 1 AS team, DATE '2020-01-01' AS d, id, CAST(if(id = 2, NULL, id / 4) AS decimal(12,2)) AS v, CAST(id AS int) AS w FROM range(6)")
+    out = lagged_means(df, "team", "d", "id", {"a": ("v", 2), "b": ("w", 3)})
+    assert [(r["a"], r["b"]) for r in out.orderBy("id").collect()] == [
+        (None, None), (0.0, 0.0), (0.125, 0.5), (0.25, 1.0), (0.75, 2.0), (0.875, 3.0)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Union" not in plan and plan.count("Window ") == 1
+
+
 def test_lagged_means_with_an_outlier_id_equal_one_window(spark):
     rows = [(0, day(0), i, i % 7) for i in range(300)] + [(0, day(0), 10**12, 50), (0, day(1), 3, 9)]
     mine = sorted(rows, key=lambda r: (r[1], r[2]))
@@ -351,6 +367,21 @@ def test_training_picks_the_best(trained):
     assert trained.best == max(r2, key=r2.get) == "LinearRegression" and r2["LinearRegression"] > 0.95
 
 
+def test_stored_features_prepare_alike_without_a_second_copy(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/features"
+    kinds = {"promotion_type": "if(id % 2 = 0, 'None', 'Giveaway')"}
+    columns = [f"{kinds.get(c, f'CAST(id * 7 % {i + 5} AS double)')} AS {c}" for i, c in enumerate(features.ATTENDANCE_FEATURES)]
+    spark.range(40).selectExpr("id AS game_id", "CAST(2020 + id % 3 AS int) AS season", "CAST(id * 3 AS int) AS actual_attendance", *columns).write.parquet(path)
+    df, kept = spark.read.parquet(path), []
+    persist = type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, *a: (kept.append(self.columns), persist(self, *a))[1])
+    halves = [forecast.prepare(df, forecast.ATTENDANCE, stored)[1:] for stored in (True, False)]
+    assert [len(c) for c in kept] == [5, 5, len(df.columns), 5, 5]  # stored: the two halves alone
+    for a, b in zip(*halves):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())) and a.count() > 0
+        a.unpersist(), b.unpersist()
+
+
 def test_unseen_category_is_all_zeros(trained):
     assert forecast.feature_names(trained.preprocessor) == ["x", "w", "promotion_type_None", "promotion_type_Theme Night"]
     assert all(len(r["features"]) == 4 for r in trained.test.select("features").collect())

@@ -226,3 +226,20 @@ def test_marts_number_no_records(spark, tmp_path):
         assert t.adapter._numbered is not None
     finally:
         t.forget()
+
+
+def test_rollups_and_features_store_only_what_is_read_again(spark):
+    """A roll-up takes its records from their join, unwritten; the outcomes that features read three times are written once."""
+    from venue_analytics.operators.features import build_features
+
+    t = Workspace(spark, "/root/testdata/sf0.001")
+    try:
+        rows = t.mart("concessions_by_game").agg({"con_rows": "sum"}).first()[0]
+        assert not any(name.endswith("_records") for name in t._made)
+        assert t.records("concessions").count() == t.records("concessions", once=True).count() == rows
+        build_features(t)
+        assert any(name.endswith("_outcomes") for name in t._made)
+        kept = t.keep("outcomes", lambda: pytest.fail("built twice"))
+        assert kept.count() == t["games"].count()
+    finally:
+        t.forget()

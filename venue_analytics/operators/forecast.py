@@ -115,19 +115,22 @@ class Forecast:
             df.unpersist()
 
 
-def prepare(df: DataFrame, task: Task) -> tuple[PipelineModel, DataFrame, DataFrame]:
+def prepare(df: DataFrame, task: Task, stored: bool = False) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Preprocessor fitted on the training seasons, and both transformed halves.
 
-    The halves are the input of every candidate's many passes, so they are persisted, spilling to disk.
+    The halves are the input of every candidate's many passes, so they are persisted, spilling to disk; so is
+    ``df`` while the halves are made, unless it is ``stored``, where a pass reads just the columns it needs.
     """
-    df = df.persist()
+    if not stored:
+        df = df.persist()
     train, test = split_by_season(df.withColumn("label", F.col(task.target).cast("double")))
     fitted = Pipeline(stages=build_preprocessor(df, task.features)).fit(train)
     keep = ["game_id", "season", task.target, "label", "features"]
     halves = [fitted.transform(half).select(*keep).persist() for half in (train, test)]
     for half in halves:
         half.count()
-    df.unpersist()
+    if not stored:
+        df.unpersist()
     return fitted, *halves
 
 

@@ -29,7 +29,7 @@ def prepared(t, task: fc.Task):
     """Preprocessor and the two persisted halves of a task's data."""
     select = attendance_features if task is fc.ATTENDANCE else revenue_features
     stored = lambda: t.keep(f"features_{task.name}", lambda: select(build_features(t)))
-    return _once(t, f"data/{task.name}", lambda: fc.prepare(stored(), task))
+    return _once(t, f"data/{task.name}", lambda: fc.prepare(stored(), task, t.stores))
 
 
 def candidate(t, task: fc.Task, name: str):

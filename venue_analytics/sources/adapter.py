@@ -211,7 +211,7 @@ class SalesAdapter:
         The source key (order, line number) repeats in the data, so the id is the row's place in that total
         order: it depends on the rows alone, not on how the files split or on retries, and rows equal in
         every column are interchangeable. ``positions`` spreads the order over range partitions (no task
-        holds a crowded key) and checkpoints the numbered table once for this adapter.
+        holds a crowded key) and writes the numbered table once for this adapter.
         """
         if not numbered:
             return self.source("lineitem")

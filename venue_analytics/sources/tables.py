@@ -25,6 +25,8 @@ LAYOUT = 3  # raised when the stored tables' columns or rules change
 class Tables(Mapping):
     """Domain tables by name. Values may be frames or zero-argument builders."""
 
+    stores = False  # whether ``keep`` writes its results
+
     def __init__(self, frames: Mapping):
         self._frames = dict(frames)
         self._marts: dict[str, DataFrame] = {}
@@ -41,8 +43,11 @@ class Tables(Mapping):
     def __len__(self) -> int:
         return len(self._frames)
 
-    def records(self, name: str) -> DataFrame:
-        """A fact table (ticket_sales, concessions or merchandise) without its record id, for outputs that don't name records."""
+    def records(self, name: str, once: bool = False) -> DataFrame:
+        """A fact table (ticket_sales, concessions or merchandise) without its record id, for outputs that don't name records.
+
+        ``once`` says that one pass reads it, so that it isn't worth storing.
+        """
         return self[name].drop(SCHEMAS[name].fields[0].name)
 
     def mart(self, name: str) -> DataFrame:
@@ -76,9 +81,11 @@ class Workspace(Tables):
     Parquet, never bucketed by game, so one huge game spreads over many files and tasks; storing them pays
     their arithmetic once and fixes their surrogate ids. Record ids need the whole line-item table sorted
     and written, so only ``t[fact]`` has them; ``records`` derives the same rows without, from the source
-    itself: ticket records are a projection of it, the two category tables (a join) are stored.
+    itself: ticket records are a projection of it, the two category tables (a join) are stored unless read
+    ``once``: a roll-up takes them straight from their join with attendance, whose buckets are its own.
     """
 
+    stores = True
     HUB = ("games", "attendance", "promotions", "weather")
     STORED_FACTS = ("ticket_sales", "concessions", "merchandise")
 
@@ -117,11 +124,13 @@ class Workspace(Tables):
         with self._lock:
             return super().__getitem__(name)
 
-    def records(self, name: str) -> DataFrame:
+    def records(self, name: str, once: bool = False) -> DataFrame:
         with self._lock:
             if name == "ticket_sales":
                 return self.adapter.ticket_sales(numbered=False)
             frame = getattr(self.adapter, name)(self["attendance"], numbered=False)
+            if once and f"{self._prefix}_{name}_records" not in self._made:
+                return frame
             return self._stored(f"{name}_records", frame, bucketed=False)
 
     def mart(self, name: str) -> DataFrame:
@@ -133,6 +142,8 @@ class Workspace(Tables):
     def keep(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Store a result in the shared folder, so passes over it survive lost executors without rebuilding it."""
         with self._lock:
+            if (table := f"{self._prefix}_{name}") in self._made:
+                return self.spark.table(table)
             return self._stored(name, build(), bucketed=False)
 
     def _stored(self, name: str, frame: DataFrame, bucketed: bool) -> DataFrame:
