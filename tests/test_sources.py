@@ -243,3 +243,15 @@ def test_rollups_and_features_store_only_what_is_read_again(spark):
         assert kept.count() == t["games"].count()
     finally:
         t.forget()
+
+
+def test_histograms_join_once(spark, monkeypatch):
+    """The joined columns are kept, so the range pass and the bin pass don't both join."""
+    from venue_analytics.plans import insights
+
+    t = Workspace(spark, "/root/testdata/sf0.001")
+    try:
+        plan = insights.histograms(t)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and {"forecast_errors", "game_day_revenue"} <= {name.split("_", 2)[2] for name in t._made}
+    finally:
+        t.forget()
