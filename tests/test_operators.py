@@ -175,6 +175,16 @@ def test_rules_count_bad_rows(spark, make):
     assert quality.offenders(make("attendance", rows), "game_id").collect() == [(1, 2)]
 
 
+def test_unique_keys_are_counted_apart_from_the_row_rules(make):
+    """No row rule's partial count goes through the shuffle with every key; surplus and null keys count as before."""
+    rows = [{"ticket_sale_id": i, "tickets_sold": s} for i, s in ((1, 3), (1, -1), (2, -1), (3, 0), (3, 1), (3, 2))]
+    out = quality.validate(make("ticket_sales", rows), quality.table_rules()["ticket_sales"], "ticket_sales")
+    got = {r["rule"]: (r["violations"], r["passed"]) for r in out.collect()}
+    assert got["ticket_sale_id is unique"] == (3, False) and got["tickets_sold >= 0"] == (2, False) and len(got) == out.count()
+    distinct = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "distinct" in line]
+    assert distinct and not any("tickets_sold" in line for line in distinct)
+
+
 def test_orphans_are_counted(make):
     sales = make("ticket_sales", [dict(game_id=1), dict(game_id=9), dict(game_id=9)])
     ref = quality.Reference("game_id", "games", "game_id")

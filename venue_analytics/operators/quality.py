@@ -1,8 +1,10 @@
 """Validation rules and cleaning of the domain tables.
 
-Validation never stops a job: it returns one row per rule with its number of violations. All rules of a
-table are counted in a single aggregation pass; references to other tables add one anti-join each, on
-keys that are deduplicated with their counts first so a hot key crosses the network once per task.
+Validation never stops a job: it returns one row per rule with its number of violations. All row rules of a
+table are counted in a single aggregation pass; a unique key adds a count by that key alone, since a distinct
+count beside the row rules would send all their partial counts through the shuffle with every key.
+References to other tables add one anti-join each, on keys that are deduplicated with their counts first so
+a hot key crosses the network once per task.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ class Rule:
 
     name: str
     violations: Column
+    key: str | None = None  # the column whose surplus values ``violations`` counts, for a unique key
 
 
 @dataclass(frozen=True)
@@ -46,7 +49,7 @@ def check(name: str, condition: Column) -> Rule:
 
 
 def unique(column: str) -> Rule:
-    return Rule(f"{column} is unique", F.count(column) - F.count_distinct(column))
+    return Rule(f"{column} is unique", F.count(column) - F.count_distinct(column), column)
 
 
 def not_null(column: str) -> Rule:
@@ -148,7 +151,13 @@ REFERENCES: dict[str, list[Reference]] = {
 
 
 def validate(df: DataFrame, rules: list[Rule], table: str) -> DataFrame:
-    """rule, table_name, violations, passed: one row per rule, one pass over df."""
+    """rule, table_name, violations, passed: one row per rule, one pass over df and one over each unique key."""
+    by_row = [r for r in rules if r.key is None]
+    parts = [by_row] * bool(by_row) + [[r] for r in rules if r.key is not None]
+    return reduce(DataFrame.unionByName, [_counted(df, part, table) for part in parts])
+
+
+def _counted(df: DataFrame, rules: list[Rule], table: str) -> DataFrame:
     counted = df.agg(*[r.violations.alias(f"r{i}") for i, r in enumerate(rules)])
     rows = [F.struct(F.lit(r.name).alias("rule"), F.lit(table).alias("table_name"), F.col(f"r{i}").alias("violations")) for i, r in enumerate(rules)]
     return counted.select(F.inline(F.array(*rows))).withColumn("passed", F.col("violations") == 0)
