@@ -474,6 +474,61 @@ def test_divergence_edge_tables(spark):
     assert sorted(tuple(r) for r in divergence.audit(few).collect()) == [("en", "s", "pair", "t", 0, 1), ("en", "t", "pair", "s", 0, 1)]
 
 
+def test_divergence_counts_terms_once_and_shuffles_only_their_counts(spark):
+    """The words of a text leave its task folded, in one shuffle that also serves everything asked by (lang, term)."""
+    df = spark.createDataFrame([("a b a", "en", "s")], "text string, lang string, source string")
+    plan = divergence.term_counts(df)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(shuffles) == 1 and "hashpartitioning(lang" in shuffles[0] and "source" not in shuffles[0].split("hashpartitioning")[1].split(")")[0]
+    assert "Generate" not in plan
+
+
+def test_divergence_folds_every_term_in_any_number_of_parts(monkeypatch):
+    import re
+
+    import pyarrow as pa
+
+    hard = ["Ab\x00cD\x7fe", "é\x85É\xa0z İ ẞ", "日本語 テキスト🎉a", "@[`{ 0-9", "", "a a A b", "[x]_y\u2028w", "one\ttwo\ntwo"]
+    rows = [(lang, source, text) for lang in ("en", "") for source in ("s", "t") for text in hard * 2]
+    want_counts, want_documents, term = Counter(), Counter(), re.compile(divergence.TERM)
+    for lang, source, text in rows:
+        found = term.findall(text.translate(str.maketrans(common.UPPER, common.LOWER)))
+        want_counts.update((lang, source, t) for t in found)
+        want_documents.update((lang, source, t) for t in set(found))
+    batches = [pa.RecordBatch.from_arrays([pa.array([v.encode() for v in c], pa.binary()) for c in zip(*part)], ["lang", "source", "text"]) for part in (rows[:5], rows[5:6], rows[6:])]
+    for held, most in ((400_000, 50_000), (3, 2), (1, 1)):
+        monkeypatch.setattr(divergence, "HELD_TERMS", held)
+        monkeypatch.setattr(divergence, "BATCH_ROWS", most)
+        counts, documents = Counter(), Counter()
+        for batch in divergence._folded(iter(batches)):
+            assert 0 < batch.num_rows <= most
+            for lang, source, t, c, d in zip(*(column.to_pylist() for column in batch.columns)):
+                counts[lang.decode(), source.decode(), t.decode()] += c
+                documents[lang.decode(), source.decode(), t.decode()] += d
+        assert counts == want_counts and documents == want_documents
+
+
+def test_divergence_equals_brute_force_on_many_groups(spark):
+    rng = random.Random(11)
+    words = ["w" * (1 + i % 5) + chr(97 + i % 26) for i in range(60)] + ["é", "日本", "A", "b"]
+    rows = [
+        (" ".join(rng.choices(words, k=rng.randrange(30))) if rng.random() > 0.05 else None, rng.choice(["en", "de", None, ""]), rng.choice([*"abcdefg", "é", None, ""]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, "text string, lang string, source string").repartition(7)
+    assert sorted(tuple(r) for r in divergence.audit(df).collect()) == _divergence_brute(rows)
+
+
+def test_divergence_prices_and_totals_are_exact(spark):
+    ends = [1, 2, 3, 7, 999_999_937, divergence.SCALE, divergence.SCALE + 1]
+    pairs = [(p, q) for p in ends for q in ends]
+    got = spark.createDataFrame(pairs, "p long, q long").select(divergence._f(F.col("p"), F.col("q"))).collect()
+    assert [r[0] for r in got] == [(p - q) ** 2 // q for p, q in pairs]
+    prices = [(10**9, 2 * 10**18 - 1), (10**9, -2 * 10**18 + 3), (3, -5), (7, 10**9), (10**9, 2 * 10**18 - 7), (1, -10**9 - 1)]
+    total = spark.createDataFrame(prices, "times long, price long").agg(divergence._total(F.col("times"), F.col("price"))).first()[0]
+    assert int(total) == sum(t * p for t, p in prices)
+
+
 # ---- exact top-k -------------------------------------------------------------------------------------
 def _top_brute(rows, k=10):
     valid = [(i, [math.floor(1024 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]

@@ -14,8 +14,13 @@ Level 0 is never materialised: its cells follow exactly from the marginals by in
 
     f(a, b) = f00 + [a>0](f(a,0) - f00) + [b>0](f(0,b) - f00) + [a>0][b>0](f(a,b) - f(a,0) - f(0,b) + f00),
 
-so a term that occurs in one source only never meets the others. All arithmetic is on integers:
-prices as long, sums as decimal(38, 0).
+so a term that occurs in one source only never meets the others. X^T X is symmetric: only the cells of
+g < h are made, and each is priced for (g, h) and, transposed, for (h, g). Terms and groups enter the
+product by number. All arithmetic is on integers: prices as long, sums as two longs, then decimal(38, 0).
+
+The occurrences are counted before that: tasks fold their documents' terms (Arrow batches, bytes), the
+folded counts are shuffled once by (lang, term), and everything a term needs of its language (documents,
+count, number) is a window over that partitioning.
 
 Defined cases: null text, lang or source count as ''; an empty table gives no rows; a group without
 terms (or a lang without kept terms, V = 0) still gives its pair rows (value 0 when V = 0); repeated
@@ -25,20 +30,27 @@ not read, so their names cannot clash.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, stored, table
+from .common import LOWER, UPPER, bounded_batches, release, stored, table
 
 # Fixed values of the contract.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-APART = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"  # the complement: a text split at these runs gives the terms
+# The same by bytes of UTF-8: A-Z lower-cased, every other byte outside the class a space, which parts terms.
+FOLDED = bytes(i if i >= 0x80 or chr(i) in LOWER else ord(LOWER[UPPER.index(chr(i))]) if chr(i) in UPPER else 0x20 for i in range(256))
 LEAST_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 
 SALT = 64  # buckets of one group's terms ranked apart before its top terms are chosen
+HELD_TERMS = 400_000  # (lang, source, term) counts a task holds before it hands them on: about 80 MB
+BATCH_ROWS = 50_000
 
 
 def _p(count: str, total: str, kept: str) -> F.Column:
@@ -47,33 +59,65 @@ def _p(count: str, total: str, kept: str) -> F.Column:
 
 
 def _f(p: F.Column, q: F.Column) -> F.Column:
-    """floor((p - q)^2 / q) as decimal(38, 0), ready to be summed."""
-    d = (p - q).cast("decimal(38,0)")
-    return F.floor(d * d / q.cast("decimal(38,0)")).cast("decimal(38,0)")
+    """floor((p - q)^2 / q), exact in long: p and q lie in 1 .. SCALE + 1, so the square is at most 10^18."""
+    return F.call_function("div", (p - q) * (p - q), q)
 
 
-def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, term, count, documents) of every term of every group, over all rows.
+def _total(times: F.Column, price: F.Column) -> F.Column:
+    """Exact sum of times * price as decimal(38, 0), the price in two parts (by SCALE) so that both sums stay long."""
+    high, low = F.call_function("div", price, F.lit(SCALE)), price % F.lit(SCALE)
+    return F.sum(times * high).cast("decimal(38,0)") * F.lit(SCALE).cast("decimal(10,0)") + F.sum(times * low).cast("decimal(38,0)")
 
-    A row's terms are followed by its distinct terms, flagged, so one explode gives both counts without
-    a lambda (higher-order functions run outside generated code), and partial aggregation folds each
-    document's repeats map-side.
-    """
-    # The maximal runs of TERM are the non-empty pieces between runs of APART; split is far cheaper.
-    words = F.array_remove(F.split(ascii_lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), APART), "")
-    rows = docs.select(
-        F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("source"),
-        words.alias("terms"),
-    ).withColumn("distinct_terms", F.array_distinct("terms"))
-    flagged = F.arrays_zip(
-        F.concat("terms", "distinct_terms").alias("term"),
-        F.concat(F.array_repeat(F.lit(0), F.size("terms")), F.array_repeat(F.lit(1), F.size("distinct_terms"))).alias("first"),
-    )
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, text) rows to partial counts (lang, source, term, count, documents), all strings as bytes."""
+    groups: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
+    held = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (counts, documents) in groups.items():
+            terms = list(counts)
+            for i in range(0, len(terms), BATCH_ROWS):
+                part = terms[i : i + BATCH_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(pa.scalar(lang, pa.binary()), len(part)), pa.repeat(pa.scalar(source, pa.binary()), len(part)), pa.array(part, pa.binary()),
+                        pa.array([counts[t] for t in part], pa.int64()), pa.array([documents[t] for t in part], pa.int64()),
+                    ],
+                    ["lang", "source", "term", "count", "documents"],
+                )
+        groups.clear()
+
+    for batch in batches:
+        for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            terms = text.translate(FOLDED).split()
+            if not terms:
+                continue
+            if (lang, source) not in groups:
+                groups[lang, source] = Counter(), Counter()
+                held += 4  # about what two empty tables take
+            counts, documents = groups[lang, source]
+            held -= len(documents)
+            counts.update(terms)
+            documents.update(set(terms))
+            held += len(documents)
+            if held >= HELD_TERMS:
+                yield from flush()
+                held = 0
+    yield from flush()
+    release()
+
+
+def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """(lang, source, term, count, documents) of every term of every group, over all rows, partitioned by (lang, term)."""
+    bounded_batches(docs.sparkSession)
+    rows = docs.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).cast("binary").alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))])
     return (
-        rows.select("lang", "source", F.inline(flagged))
+        rows.mapInArrow(_folded, "lang binary, source binary, term binary, count long, documents long")
+        .select(*[F.col(c).cast("string").alias(c) for c in ("lang", "source", "term")], "count", "documents")
+        .repartition("lang", "term")
         .groupBy("lang", "source", "term")
-        .agg((F.count(F.lit(1)) - F.sum("first")).alias("count"), F.sum("first").cast("long").alias("documents"))
+        .agg(F.sum("count").alias("count"), F.sum("documents").alias("documents"))
     )
 
 
@@ -85,31 +129,33 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     value f(p, q_lang); ranks up to ``top_terms``. Ranks count from 1 by value descending, item
     ascending (UTF-8).
     """
-    counts = stored(term_counts(docs, text, lang, source), "divergence-counts")
+    of_term = Window.partitionBy("lang", "term")
+    # The non-zero entries of X, (lang, source, term, level c), with the term's number and its count in the lang.
+    entries = stored(
+        term_counts(docs, text, lang, source)
+        .withColumn("row", F.monotonically_increasing_id())
+        .select(
+            "lang", "source", "term", F.col("count").alias("c"), "row", F.sum("documents").over(of_term).alias("documents"),
+            F.sum("count").over(of_term).alias("c_lang"), F.min("row").over(of_term).alias("number"),
+        )
+        .where(F.col("documents") >= LEAST_DOCUMENTS)
+        .select("lang", "source", "term", "c", "c_lang", "number", (F.col("row") == F.col("number")).cast("long").alias("first")),
+        "divergence-entries",
+    )
     groups = docs.select(
         F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), F.coalesce(F.col(f"`{source}`"), F.lit("")).alias("source")
     ).distinct()
-
-    by_lang = counts.groupBy("lang", "term").agg(F.sum("documents").alias("documents"), F.sum("count").alias("count"))
-    kept = stored(by_lang.where(F.col("documents") >= LEAST_DOCUMENTS).select("lang", "term", "count"), "divergence-kept")
-    langs = (
-        groups.select("lang").distinct()
-        .join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("count").alias("n_lang")), "lang", "left")
-        .select("lang", F.coalesce("v", F.lit(0)).cast("long").alias("v"), F.coalesce("n_lang", F.lit(0)).cast("long").alias("n_lang"))
-    )
-    # The non-zero entries of X: (lang, source, term, level).
-    entries = stored(counts.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", F.col("count").alias("c")), "divergence-entries")
+    of_lang = Window.partitionBy("lang")
     sized = stored(
-        groups.join(entries.groupBy("lang", "source").agg(F.sum("c").alias("n")), ["lang", "source"], "left")
-        .join(langs, "lang")
-        .select("lang", "source", F.coalesce("n", F.lit(0)).cast("long").alias("n"), "v", "n_lang"),
+        groups.join(entries.groupBy("lang", "source").agg(F.sum("c").alias("n"), F.sum("first").alias("v")), ["lang", "source"], "left")
+        .select("lang", "source", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("v", F.lit(0)).cast("long").alias("v"))
+        .select("lang", "source", "n", F.sum("v").over(of_lang).alias("v"), F.sum("n").over(of_lang).alias("n_lang"), F.monotonically_increasing_id().alias("g")),
         "divergence-groups",
     )
 
     # Part term: the group's p against the lang's, top terms through salted buckets.
     priced = (
         entries.join(sized, ["lang", "source"])
-        .join(kept.withColumnRenamed("count", "c_lang"), ["lang", "term"])
         .select("lang", "source", "term", _p("c", "n", "v").alias("p"), _p("c_lang", "n_lang", "v").alias("q"))
         .where(F.col("p") > F.col("q"))
         .select("lang", "source", F.col("term").alias("item"), _f(F.col("p"), F.col("q")).alias("value"))
@@ -125,14 +171,14 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     terms = (
         near_top.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*order)))
         .where(F.col("rank") <= top_terms)
-        .select("lang", "source", F.lit("term").alias("part"), "item", F.col("value").cast("long").alias("value"), F.col("rank").cast("int").alias("rank"))
+        .select("lang", "source", F.lit("term").alias("part"), "item", "value", F.col("rank").cast("int").alias("rank"))
     )
 
     # Part pair: marginals X^T 1, joint tables X^T X, level 0 by inclusion-exclusion.
     a, b = sized.alias("a"), sized.alias("b")
     pairs = a.join(b, (F.col("a.lang") == F.col("b.lang")) & (F.col("a.source") != F.col("b.source"))).select(
         F.col("a.lang").alias("lang"), F.col("a.source").alias("source"), F.col("b.source").alias("item"),
-        F.col("a.n").alias("ns"), F.col("b.n").alias("nt"), F.col("a.v").alias("v"),
+        F.col("a.g").alias("g"), F.col("b.g").alias("h"), F.col("a.n").alias("ns"), F.col("b.n").alias("nt"), F.col("a.v").alias("v"),
     )
     pairs = stored(pairs, "divergence-pairs")
     ps0, pt0 = _p("0", "ns", "v"), _p("0", "nt", "v")
@@ -140,31 +186,37 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     margins = entries.groupBy("lang", "source", "c").agg(F.count(F.lit(1)).alias("m"))
     own = (
         pairs.join(margins, ["lang", "source"])
-        .groupBy("lang", "source", "item")
-        .agg(F.sum(F.col("m").cast("decimal(38,0)") * (_f(_p("c", "ns", "v"), pt0) - f00)).alias("own"))
+        .groupBy("g", "h")
+        .agg(_total(F.col("m"), _f(_p("c", "ns", "v"), pt0) - f00).alias("own"))
     )
     other = (
         pairs.join(margins.withColumnRenamed("source", "item"), ["lang", "item"])
-        .groupBy("lang", "source", "item")
-        .agg(F.sum(F.col("m").cast("decimal(38,0)") * (_f(ps0, _p("c", "nt", "v")) - f00)).alias("other"))
+        .groupBy("g", "h")
+        .agg(_total(F.col("m"), _f(ps0, _p("c", "nt", "v")) - f00).alias("other"))
     )
-    left, right = entries.alias("l"), entries.alias("r")
+    x = entries.join(sized, ["lang", "source"]).select("number", "g", "c")
+    left, right = x.alias("l"), x.alias("r")
     cells = (
-        left.join(right, (F.col("l.lang") == F.col("r.lang")) & (F.col("l.term") == F.col("r.term")) & (F.col("l.source") != F.col("r.source")))
-        .groupBy(F.col("l.lang").alias("lang"), F.col("l.source").alias("source"), F.col("l.c").alias("a"), F.col("r.source").alias("item"), F.col("r.c").alias("b"))
+        left.join(right, (F.col("l.number") == F.col("r.number")) & (F.col("l.g") < F.col("r.g")))
+        .groupBy(F.col("l.g").alias("g"), F.col("l.c").alias("a"), F.col("r.g").alias("h"), F.col("r.c").alias("b"))
         .agg(F.count(F.lit(1)).alias("cell"))
     )
-    both = (
-        cells.join(pairs, ["lang", "source", "item"])
-        .groupBy("lang", "source", "item")
-        .agg(F.sum(F.col("cell").cast("decimal(38,0)") * (
-            _f(_p("a", "ns", "v"), _p("b", "nt", "v")) - _f(_p("a", "ns", "v"), pt0) - _f(ps0, _p("b", "nt", "v")) + f00
-        )).alias("both"))
+    ps, pt = _p("a", "ns", "v"), _p("b", "nt", "v")
+    halves = (
+        cells.join(pairs, ["g", "h"])
+        .groupBy("g", "h")
+        .agg(
+            _total(F.col("cell"), _f(ps, pt) - _f(ps, pt0) - _f(ps0, pt) + f00).alias("there"),
+            _total(F.col("cell"), _f(pt, ps) - _f(pt, ps0) - _f(pt0, ps) + _f(pt0, ps0)).alias("back"),
+        )
     )
+    both = halves.select(F.inline(F.array(
+        F.struct(F.col("g"), F.col("h"), F.col("there").alias("both")), F.struct(F.col("h").alias("g"), F.col("g").alias("h"), F.col("back").alias("both"))
+    )))
     zero = F.lit(0).cast("decimal(38,0)")
-    value = F.col("v").cast("decimal(38,0)") * f00 + F.coalesce("own", zero) + F.coalesce("other", zero) + F.coalesce("both", zero)
+    value = F.col("v").cast("decimal(38,0)") * f00.cast("decimal(38,0)") + F.coalesce("own", zero) + F.coalesce("other", zero) + F.coalesce("both", zero)
     pair = (
-        pairs.join(own, ["lang", "source", "item"], "left").join(other, ["lang", "source", "item"], "left").join(both, ["lang", "source", "item"], "left")
+        pairs.join(own, ["g", "h"], "left").join(other, ["g", "h"], "left").join(both, ["g", "h"], "left")
         .select("lang", "source", "item", F.when(F.col("v") > 0, value).otherwise(zero).alias("value"))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*order)))
         .select("lang", "source", F.lit("pair").alias("part"), "item", F.col("value").cast("long").alias("value"), F.col("rank").cast("int").alias("rank"))
