@@ -565,6 +565,23 @@ def test_forest_without_bags_is_mllibs_tree(vectors, local_rows, monkeypatch):
     assert two.totalNumNodes >= 2 * one.numNodes and type(two).__name__ == "RandomForestRegressionModel"
 
 
+def test_forest_predicts_from_arrays_as_mllibs_model_does(vectors, tmp_path):
+    """No Java model is loaded to predict; what is saved and read back is MLlib's and predicts the same, missing numbers too."""
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import RandomForestRegressionModel
+    from venue_analytics.operators import trees
+
+    model = trees.Forest(numTrees=4, maxDepth=6, seed=3).fit(vectors)
+    scores = _scores(model, vectors)
+    assert model._loaded is None and model.transform(vectors.limit(0)).count() == 0
+    model.write().save(str(tmp_path / "model"))
+    saved = RandomForestRegressionModel.load(str(tmp_path / "model"))
+    assert np.array_equal(scores, _scores(saved, vectors)) and saved.getNumTrees == 4
+    assert model.copy().featureImportances == saved.featureImportances
+    x = np.full((2, 8), np.nan)
+    assert np.array_equal(trees.mean_prediction(x, model._trees.value), [saved.predict(Vectors.dense(x[0]))] * 2)
+
+
 def test_forest_bags_do_not_depend_on_where_nodes_finish(vectors, monkeypatch):
     from venue_analytics.operators import trees
 
