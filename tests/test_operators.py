@@ -582,6 +582,40 @@ def test_forest_predicts_from_arrays_as_mllibs_model_does(vectors, tmp_path):
     assert np.array_equal(trees.mean_prediction(x, model._trees.value), [saved.predict(Vectors.dense(x[0]))] * 2)
 
 
+def test_large_nodes_grow_the_same_subtree_by_codes(monkeypatch):
+    """Counted by code, of each split only the child of fewer rows, a subtree is the one whose features are all counted by themselves."""
+    from venue_analytics.operators import trees
+
+    rng = np.random.default_rng(5)
+    m = 6000
+    x = np.stack([*rng.normal(size=(4, m)), *rng.integers(0, 2, (11, m)), *rng.integers(0, 12, (2, m)), np.zeros(m)], axis=1)
+    x[:, 5] = 1 - x[:, 4]  # equal splits: the first feature must win wherever it is counted
+    y = np.rint(10000 * x[:, 0] + 4000 * x[:, 4] * x[:, 1] + x[:, 15])
+    bins = trees.Bins(tuple(trees.feature_thresholds(c, 32) for c in x.T))
+    codes, w = np.ascontiguousarray(bins.pack(x).T), rng.poisson(1.0, m).astype(np.uint8)
+    codes, y, w = codes[:, w > 0], y[w > 0], w[w > 0]
+    columns = np.stack([np.searchsorted(t, c, side="left") for t, c in zip(bins.thresholds, x.T)])
+    assert np.array_equal(bins.unpack(np.ascontiguousarray(bins.pack(x).T)), columns)
+    assert np.array_equal(bins.narrow.unpack(bins.narrowed(np.ascontiguousarray(bins.pack(x).T))), columns)
+    assert len(bins.groups) < len(bins.narrow.groups) < x.shape[1]
+
+    def grown(small, unit=1.0):
+        monkeypatch.setattr(trees, "SMALL_ROWS", small)
+        nodes = trees.grow(0, 1, 0, 7, bins, codes, y / unit, w)
+        order = np.argsort(nodes["heap"])
+        return {c: v[order] for c, v in nodes.items()}
+
+    wanted = grown(10**6)
+    assert len(wanted["heap"]) > 100 and 5 not in wanted["feature"]
+    for small, unit in ((0, 1.0), (40, 1.0), (1000, 1.0), (40, 100.0)):
+        got = grown(small, unit)
+        for c in ("heap", "feature", "threshold", "n", "raw"):
+            assert np.array_equal(got[c], wanted[c]), (small, c)
+        for c, scale in (("prediction", unit), ("s", unit), ("q", unit ** 2), ("impurity", unit ** 2)):
+            assert np.allclose(got[c] * scale, wanted[c], rtol=1e-9, atol=1e-3), (small, c)
+        assert np.allclose(got["gain"] * np.where(got["feature"] < 0, 1.0, unit ** 2), wanted["gain"], rtol=1e-9)
+
+
 def test_forest_bags_do_not_depend_on_where_nodes_finish(vectors, monkeypatch):
     from venue_analytics.operators import trees
 
